@@ -63,16 +63,11 @@ def count_matrix(
 ) -> DataFrame:
     """Row counts per ``row``, one output column per value of ``column``.
 
-    ``names`` maps each value to its output column; giving the values spares
-    Spark a pass over the data to find them.
+    ``names`` maps each value to its output column. With the values given, this is
+    one aggregation; ``pivot`` would add a second one and its shuffle.
     """
-    counts = df.groupBy(row).pivot(column, list(names)).count()
-    return counts.select(
-        row,
-        *(
-            whole(F.coalesce(F.col(f"`{value}`"), F.lit(0))).alias(name)
-            for value, name in names.items()
-        ),
+    return df.groupBy(row).agg(
+        *(F.count_if(F.col(column) == value).alias(name) for value, name in names.items())
     )
 
 

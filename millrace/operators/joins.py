@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.values import EPOCH, time_bucket
+from millrace.functions.values import time_bucket
 
 
 def rows_without_match(
@@ -56,22 +56,20 @@ def last_before(
     time range, however many rows the key has. Both steps share one shuffle of
     the rows.
     """
-    # Rows without a time are kept in some chunk; ``known`` stops them matching.
-    bucket = time_bucket(F.coalesce(F.col(ts), F.expr(EPOCH)), chunk)
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
     rows = (
-        df.filter(source | target)
+        df.filter((source | target) & known)
         .select(
             key,
             ts,
             row_id,
             source.alias("_source"),
             target.alias("_target"),
-            bucket.alias("_chunk"),
+            time_bucket(ts, chunk).alias("_chunk"),
         )
         .repartition(key, "_chunk")
     )
-    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    mark = F.when(F.col("_source") & known, F.struct(ts, row_id))
+    mark = F.when(F.col("_source"), F.struct(ts, row_id))
 
     within = (
         Window.partitionBy(key, "_chunk")
@@ -92,8 +90,8 @@ def last_before(
         .filter(F.col("_wanted") & F.col("_carried").isNotNull())
         .select(key, "_chunk", "_carried")
     )
-    found = F.when(known, F.coalesce("_here", "_carried"))
-    return (
+    found = F.coalesce("_here", "_carried")
+    matched = (
         targets.filter("_target")
         .join(carried, [key, "_chunk"], "left")
         .select(
@@ -104,3 +102,9 @@ def last_before(
             found[ts].alias("source_ts"),
         )
     )
+    nothing = [
+        F.lit(None).cast(matched.schema[name].dataType).alias(name)
+        for name in ("source_id", "source_ts")
+    ]
+    unknown = df.filter(target & ~known).select(key, row_id, ts, *nothing)
+    return matched.unionByName(unknown)

@@ -1,0 +1,85 @@
+"""The physical plans: what reaches the scan, what is shuffled, what is broadcast."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from conftest import TESTDATA
+from millrace.plans import star
+from millrace.sources.shared import broadcast_if_small, checkpointed
+
+BATCH = [name for name in contract.queries() if not name.startswith("stream_")]
+
+
+@pytest.fixture
+def plan(spark, conf):
+    """Final plan of a query with no table small enough to broadcast."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def run(name: str) -> str:
+        df = contract.queries()[name](spark, f"{TESTDATA}/sf0.01")
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return text.split("== Initial Plan ==")[0]
+
+    return run
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_product_and_no_python(plan, name):
+    text = plan(name)
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", text)
+    assert not re.search(r"Python|Pandas|InArrow", text)
+
+
+def test_ship_date_and_columns_reach_the_scan(spark):
+    df = star.revenue_by_region_year(spark, f"{TESTDATA}/sf0.01")
+    scans = df._jdf.queryExecution().executedPlan().toString()
+    lineitem = next(line for line in scans.splitlines() if "l_extendedprice#" in line and "FileScan" in line)
+    columns = re.search(r"FileScan parquet \[([^\]]*)\]", lineitem)[1]
+    assert re.sub(r"#\d+L?", "", columns) == "l_orderkey,l_extendedprice,l_discount,l_shipdate"
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in lineitem
+
+
+def test_order_lines_are_shuffled_once(plan):
+    text = plan("revenue_by_region_year")
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", text)) == 1
+
+
+def test_missing_lines_shuffle_distinct_keys_once(plan):
+    text = plan("orders_without_lines")
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
+    assert len(re.findall(r"HashAggregate", text)) == 2
+
+
+def test_top_customers_are_cut_before_the_shuffle(plan):
+    assert re.search(r"WindowGroupLimit .*row_number\(\), 3, Partial", plan("top_customers_per_nation"))
+
+
+def test_as_of_reads_and_shuffles_the_rows_once(plan):
+    text = plan("last_view_before_purchase")
+    assert len(re.findall(r"ReusedExchange", text)) == 1
+    # The second scan is for purchases without a user or time.
+    assert len(re.findall(r"FileScan", text)) == 2
+
+
+def test_quantile_bands_are_broadcast_into_the_scan_stage(plan):
+    text = plan("price_quantiles")
+    assert len(re.findall(r"FileScan", text)) == 1
+    assert "BroadcastHashJoin" in text
+
+
+def test_cube_expands_counts_not_rows(plan):
+    text = plan("line_counts_cube")
+    below_expand = text[text.index("Expand") :]
+    assert len(re.findall(r"HashAggregate", below_expand)) == 2
+
+
+def test_broadcast_is_refused_over_the_bound(spark):
+    df = checkpointed(spark.range(11).select(F.col("id").alias("k")))
+    assert broadcast_if_small(df, 10) is None
+    assert broadcast_if_small(df, 11) is not None
