@@ -2,15 +2,47 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
-def money(column: str | Column) -> Column:
-    """An amount as ``decimal(12,2)``, so that sums do not depend on row order."""
-    return _col(column).cast("decimal(12,2)")
+# Totals of whole units are kept as two ``bigint`` sums, of the units div and mod
+# this number, so that they are exact and cannot overflow over trillions of rows.
+_SPLIT = 1_000_000
+
+
+def hundredths(column: str | Column) -> Column:
+    """An amount or a rate with two decimals, stored as a double, as whole hundredths.
+
+    Integers make sums exact and independent of row order, and cost a fraction of
+    what casting each double to a decimal does.
+    """
+    scaled = _col(column).cast("double") * 100
+    return F.when(scaled < 0, -F.floor(0.5 - scaled)).otherwise(F.floor(scaled + 0.5))
+
+
+def split_sum(units: Column, name: str) -> list[Column]:
+    """The sum of whole ``units`` as the two columns ``<name>_high, <name>_low``."""
+    high = F.call_function("div", units, F.lit(_SPLIT))
+    return [
+        F.sum(high).alias(f"{name}_high"),
+        F.sum(units % _SPLIT).alias(f"{name}_low"),
+    ]
+
+
+def split_sum_again(name: str) -> list[Column]:
+    """The sum over sums made by ``split_sum``."""
+    return [F.sum(part).alias(part) for part in (f"{name}_high", f"{name}_low")]
+
+
+def split_total(name: str, scale: int) -> Column:
+    """The total of a ``split_sum`` as a decimal with ``scale`` decimals."""
+    units = F.col(f"{name}_high").cast("decimal(19,0)") * _SPLIT + F.col(f"{name}_low")
+    return (units * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
 
 
 def whole(column: str | Column) -> Column:

@@ -7,11 +7,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.values import money, whole
+from millrace.functions.values import hundredths, whole
 from millrace.sources.shared import broadcast_if_small, checkpointed
 
-# An amount is a whole number of cents below 10^12. Split by this factor twice,
-# it has three parts, and no window below holds more than 2 * 10^4 rows.
+# Amounts below 10^10 are whole numbers of cents below 10^12. Split by this factor
+# twice, they have three parts, and no window below holds more than 2 * 10^4 rows.
 _FACTOR = 10_000
 
 
@@ -27,8 +27,7 @@ def exact_quantiles(
     That reads the two columns twice and shuffles nothing but counts. Null amounts
     are left out; a group with nothing else gets nulls.
     """
-    cents = whole(money(amount) * 100)
-    rows = df.select(key, cents.alias("_cents")).withColumn(
+    rows = df.select(key, hundredths(amount).alias("_cents")).withColumn(
         "_band", _floor_div("_cents", _FACTOR)
     )
     bands = rows.groupBy(key, "_band").agg(F.count("_cents").alias("_n"))

@@ -7,7 +7,13 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.values import money, whole
+from millrace.functions.values import (
+    hundredths,
+    split_sum,
+    split_sum_again,
+    split_total,
+    whole,
+)
 from millrace.operators.aggregates import count_cube, count_matrix, duplicate_keys
 from millrace.operators.joins import keys_in_first_only, rows_without_match
 from millrace.operators.quantiles import exact_quantiles
@@ -26,12 +32,12 @@ def revenue_by_region_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     is assumed for orders or customers; Spark broadcasts a side only when its files
     are small, and adaptive execution splits a customer with very many orders.
     """
-    revenue = money("l_extendedprice") * (1 - money("l_discount"))
+    revenue = hundredths("l_extendedprice") * (100 - hundredths("l_discount"))
     per_order = (
         table(spark, sf_dir, "lineitem")
         .filter(F.col("l_shipdate") >= F.expr("timestamp_ntz'1997-01-01 00:00:00'"))
         .groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("_lines"), F.sum(revenue).alias("_revenue"))
+        .agg(F.count(F.lit(1)).alias("n_lines"), *split_sum(revenue, "revenue"))
     )
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", whole(F.year("o_orderdate")).alias("order_year")
@@ -40,7 +46,7 @@ def revenue_by_region_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", "order_year")
-        .agg(F.sum("_lines").alias("_lines"), F.sum("_revenue").alias("_revenue"))
+        .agg(F.sum("n_lines").alias("n_lines"), *split_sum_again("revenue"))
     )
     return (
         per_nation.join(
@@ -48,10 +54,8 @@ def revenue_by_region_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy(F.col("r_name").alias("region"), "order_year")
-        .agg(
-            F.sum("_lines").alias("n_lines"),
-            F.sum("_revenue").cast("decimal(38,4)").alias("revenue"),
-        )
+        .agg(F.sum("n_lines").alias("n_lines"), *split_sum_again("revenue"))
+        .select("region", "order_year", "n_lines", split_total("revenue", 4).alias("revenue"))
     )
 
 
@@ -78,7 +82,8 @@ def top_customers_per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     spent = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.sum(money("o_totalprice")).alias("order_value"))
+        .agg(*split_sum(hundredths("o_totalprice"), "value"))
+        .select("c_custkey", split_total("value", 2).alias("order_value"))
     )
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey"
@@ -91,11 +96,7 @@ def top_customers_per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nations = table(spark, sf_dir, "nation")
     return top.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("n_name").alias("nation"),
-        "rank",
-        "c_custkey",
-        "c_name",
-        F.col("order_value").cast("decimal(38,2)").alias("order_value"),
+        F.col("n_name").alias("nation"), "rank", "c_custkey", "c_name", "order_value"
     )
 
 
@@ -108,7 +109,8 @@ def monthly_revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = (
         table(spark, sf_dir, "orders")
         .groupBy(F.trunc("o_orderdate", "month").alias("order_month"))
-        .agg(F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("order_value"))
+        .agg(*split_sum(hundredths("o_totalprice"), "value"))
+        .select("order_month", split_total("value", 2).alias("order_value"))
     )
     in_order = Window.orderBy("order_month")
     change = F.col("order_value") - F.lag("order_value").over(in_order)
@@ -151,24 +153,30 @@ def nations_without_poor_suppliers(spark: SparkSession, sf_dir: str) -> DataFram
     return nations.join(keys, "n_nationkey", "left_semi")
 
 
-def write_orders_by_year(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """All orders at ``path``, one folder per order year."""
+def write_orders_by_year(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """All orders at ``path``, one folder per order year; the table written."""
     orders = table(spark, sf_dir, "orders")
     by_year = orders.withColumn("order_year", F.year("o_orderdate"))
-    write_partitioned(by_year, path, "order_year")
+    return write_partitioned(by_year, path, "order_year")
 
 
 def orders_by_year_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all orders by year, read the table back and sum it up per year."""
     path = f"{new_run_dir(spark, 'orders_by_year')}/table"
-    write_orders_by_year(spark, sf_dir, path)
     return (
-        spark.read.parquet(path)
+        write_orders_by_year(spark, sf_dir, path)
         .groupBy(whole("order_year").alias("order_year"))
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
-            F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("order_value"),
+            *split_sum(hundredths("o_totalprice"), "value"),
             F.min("o_orderdate").alias("first_order"),
             F.max("o_orderdate").alias("last_order"),
         )
+        .select(
+            "order_year",
+            "n_orders",
+            split_total("value", 2).alias("order_value"),
+            "first_order",
+            "last_order",
+        )
     )
