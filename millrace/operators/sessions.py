@@ -26,7 +26,8 @@ def sessionize(df: DataFrame, key: str, ts: str, gap: str = "30 minutes") -> Dat
     pause = F.col("_first") - F.lag("_last").over(in_order)
     opens = F.coalesce(pause > interval(gap), F.lit(True)).cast("int")
     numbered = panes.withColumn("_opens", opens).withColumn(
-        "_session", F.sum("_opens").over(in_order)
+        "_session",
+        F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
     )
     return (
         numbered.groupBy(key, "_session")

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources.shared import new_run_dir
 
-# State goes to local RocksDB files uploaded to the checkpoint, not to the heap.
 _STATE = {
+    # State is kept in local RocksDB files, not on the heap, and each batch uploads
+    # its changes to the checkpoint.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting the rows in the store reads each key before writing it.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # Each task joins its rows into sessions before the shuffle, so a user with
     # most of the rows sends sessions, not rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",

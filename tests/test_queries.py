@@ -39,6 +39,15 @@ def test_query_without_broadcast(spark, conf, name):
     assert_same(df, duckdb_over(sf_dir), contract.oracle_sql()[name])
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_query_in_another_time_zone(spark, conf, name):
+    """The tables hold times without zone, so the session's zone must not matter."""
+    conf("spark.sql.session.timeZone", "America/Sao_Paulo")
+    sf_dir = f"{TESTDATA}/sf0.001"
+    df = contract.queries()[name](spark, sf_dir)
+    assert_same(df, duckdb_over(sf_dir), contract.oracle_sql()[name])
+
+
 def test_sql_is_given_for_every_query():
     assert set(contract.oracle_sql()) == set(NAMES)
 

@@ -29,7 +29,7 @@ class Feed:
 
     def run(self, operator):
         stream = table_stream(self.spark, str(self.folder), "events", files_per_batch=1)
-        result = operator(stream.withColumn("ts", as_instant("ts")))
+        result = operator(stream.select("event_id", "user_id", as_instant("ts").alias("ts")))
         return run_available(result, f"{self.folder}/table", f"{self.folder}/checkpoint")
 
 
