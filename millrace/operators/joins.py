@@ -41,7 +41,7 @@ def last_before(
     row_id: str,
     source: Column,
     target: Column,
-    chunk: str = "15 minutes",
+    chunk: str = "1 minute",
 ) -> DataFrame:
     """As-of join: for each ``target`` row the last ``source`` row of the same key
     before it, by ``(ts, row_id)``.

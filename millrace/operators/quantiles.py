@@ -134,13 +134,21 @@ def _rank(name: str, rank: Column, weight: Column) -> Column:
 def _counts_in_bands(rows: DataFrame, bands: DataFrame, key: str) -> DataFrame:
     """Rows per cent within the given bands."""
     bands = bands.withColumnsRenamed({key: "_key", "_band": "_kept"})
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_band") == F.col("_kept"))
+    same_band = F.col("_band") == F.col("_kept")
     per_cent = [key, "_band", "_cents"]
     small = broadcast_if_small(bands)
     if small is not None:
+        # Hashed to one number, the key and band are looked up without building a
+        # row for each of ``rows``; they are compared where the number is found.
+        # The coalesces keep Spark from making the comparisons hash keys as well.
+        same_hash = F.xxhash64(key, "_band") == F.xxhash64("_key", "_kept")
+        neither = F.col(key).isNull() & F.col("_key").isNull()
+        same_key = F.coalesce(F.col(key) == F.col("_key"), neither)
+        same = same_hash & F.coalesce(same_band, F.lit(False)) & same_key
         kept = rows.join(small, same, "left_semi")
         return kept.groupBy(*per_cent).agg(F.count(F.lit(1)).alias("_n"))
     # Too many keys to broadcast: count first, so that the join moves counts, not
     # rows, and a band holds at most 10^4 of them.
     counts = rows.groupBy(*per_cent).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.join(bands, same, "left_semi")
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    return counts.join(bands, same_band & same_key, "left_semi")
