@@ -2,7 +2,7 @@
 
 ``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the local cores,
 ``BENCH_QUERIES`` an optional comma-separated choice. Each query is run once to warm
-up and then ``BENCH_RUNS`` times (default 2); the fastest counts. Results are computed
+up and then ``BENCH_RUNS`` times (default 3); the fastest counts. Results are computed
 in full and thrown away by Spark's ``noop`` sink.
 """
 
@@ -23,7 +23,7 @@ from millrace.session import build_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = [name for name in os.environ.get("BENCH_QUERIES", "").split(",") if name]
     spark = build_session(
         f"local[{cpus}]",

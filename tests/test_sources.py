@@ -29,7 +29,7 @@ def test_sink_is_read_back_whole_and_by_year(spark, tmp_path):
     year = back.filter("order_year = 1997").drop("order_year")
     assert rows_of(year) == rows_of(orders.filter("year(o_orderdate) = 1997"))
     plan = year._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[isnotnull\(order_year#\d+\), \(order_year#\d+ = 1997\)\]", plan)
+    assert re.search(r"PartitionFilters: \[[^]]*\(order_year#\d+ = 1997\)\]", plan)
 
 
 def test_sink_splits_a_hot_value_and_spares_small_ones(spark, conf, tmp_path):
