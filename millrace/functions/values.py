@@ -56,7 +56,7 @@ def interval(length: str) -> Column:
 
 
 def time_bucket(ts: str | Column, length: str) -> Column:
-    """Start of the bucket of ``length`` that holds ``ts``. Rows without ``ts`` go."""
+    """Start of the bucket of ``length`` that holds ``ts``; Spark drops rows without."""
     return F.window(_col(ts), length)["start"]
 
 

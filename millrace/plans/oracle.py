@@ -84,7 +84,7 @@ ORACLE_SQL: dict[str, str] = {
                cast(sum(order_value) over (order by order_month
                     rows between 2 preceding and current row) as decimal(38,2)) as three_months
         from (
-            select cast(date_trunc('month', o_orderdate) as date) as order_month,
+            select date_trunc('month', o_orderdate) as order_month,
                    sum(cast(o_totalprice as decimal(12,2))) as order_value
             from orders
             group by 1

@@ -106,9 +106,10 @@ def monthly_revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The windows have no partition: they run over one row per calendar month.
     """
+    month = F.trunc("o_orderdate", "month").cast("timestamp_ntz")
     months = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.trunc("o_orderdate", "month").alias("order_month"))
+        .groupBy(month.alias("order_month"))
         .agg(*split_sum(hundredths("o_totalprice"), "value"))
         .select("order_month", split_total("value", 2).alias("order_value"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from compare import rows_of
@@ -100,6 +101,27 @@ def test_running_again_adds_nothing(feed):
     assert rows(feed.run(hourly)) == [(at(0), 1)]
 
 
+def test_a_failed_run_is_taken_up_again(feed):
+    """The first batch is done, the second fails; the next run does the second only."""
+
+    def distinct(stream):
+        return stream_distinct(stream, "event_id", "ts", "10 minutes").withColumn(
+            "ts", as_wall("ts")
+        )
+
+    def failing(stream):
+        bad = F.when(F.col("event_id") == 99, F.raise_error(F.lit("lost"))).cast("bigint")
+        return distinct(stream.withColumn("user_id", F.coalesce(bad, "user_id")))
+
+    feed.send((1, 1, at(0)), (2, 1, at(1)))
+    feed.run(failing)
+    feed.send((2, 1, at(1)), (99, 1, at(2)))
+    with pytest.raises(StreamingQueryException, match="lost"):
+        feed.run(failing)
+    got = [row[0] for row in rows(feed.run(distinct))]
+    assert got == [1, 2, 99]
+
+
 def test_settings_are_put_back(spark, feed):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
