@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ def sliding_counts(df: DataFrame, ts: str, width: str, slide: str) -> DataFrame:
     counts, so rows are not copied into every window they fall in. ``width`` must
     be a multiple of ``slide``.
     """
+    if pd.Timedelta(width) % pd.Timedelta(slide):
+        raise ValueError(f"{width} is not a multiple of {slide}")
     panes = df.groupBy(time_bucket(ts, slide).alias("_pane")).agg(
         F.count(F.lit(1)).alias("_n")
     )
