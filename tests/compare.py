@@ -28,7 +28,9 @@ def duckdb_over(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:
         path = Path(sf_dir) / f"{name}.parquet"
-        connection.execute(f"create view {name} as select * from '{path}'")
+        if path.exists():
+            files = path / "*.parquet" if path.is_dir() else path
+            connection.execute(f"create view {name} as select * from '{files}'")
     return connection
 
 

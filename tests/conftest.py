@@ -11,10 +11,18 @@ START = datetime(2024, 1, 1)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def event_log(tmp_path_factory):
+    return tmp_path_factory.mktemp("event_log")
+
+
+@pytest.fixture(scope="session")
+def spark(event_log):
     session = build_session(
         "local[8]",
         **{
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": str(event_log),
+            "spark.eventLog.compress": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +11,6 @@ import __spark_entry__ as contract
 from conftest import TESTDATA
 from millrace.plans import star
 from millrace.sources.shared import broadcast_if_small, checkpointed
-from millrace.sources.tables import table
 
 BATCH = [name for name in contract.queries() if not name.startswith("stream_")]
 
@@ -83,35 +80,6 @@ def test_cube_expands_counts_not_rows(plan):
     assert len(re.findall(r"HashAggregate", below_expand)) == 2
 
 
-def test_hot_customer_is_split(spark, conf, tmp_path):
-    """A third of all orders on one customer: the join splits that partition."""
-    source, sf_dir = f"{TESTDATA}/sf0.1", str(tmp_path)
-    for name in ("region", "nation", "customer", "lineitem"):
-        table(spark, source, name).write.parquet(f"{sf_dir}/{name}.parquet")
-    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7).cast("bigint"))
-    orders = table(spark, source, "orders").withColumn(
-        "o_custkey", F.coalesce(hot, F.col("o_custkey"))
-    )
-    orders.repartition(16).write.parquet(f"{sf_dir}/orders.parquet")
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "200k")
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
-    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
-    df = star.revenue_by_region_year(spark, sf_dir)
-    spark_rows = Counter(tuple(row) for row in df.collect())
-    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert re.search(r"SortMergeJoin\(skew=true\) \[o_custkey", text)
-
-    connection = duckdb.connect()
-    for name in ("region", "nation", "customer", "lineitem", "orders"):
-        connection.execute(
-            f"create view {name} as select * from '{sf_dir}/{name}.parquet/*.parquet'"
-        )
-    sql = contract.oracle_sql()["revenue_by_region_year"]
-    answer = connection.sql(f"select {', '.join(df.columns)} from ({sql})")
-    assert spark_rows == Counter(answer.fetchall())
-
-
 def test_broadcast_is_refused_over_the_bound(spark):
     df = checkpointed(spark.range(11).select(F.col("id").alias("k")))
     assert broadcast_if_small(df, 10) is None
