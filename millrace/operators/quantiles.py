@@ -33,7 +33,7 @@ def exact_quantiles(
     bands = rows.groupBy(key, "_band").agg(F.count("_cents").alias("_n"))
     wanted = checkpointed(_wanted_ranks(_rows_before(bands, key), fractions, key))
 
-    counts = _counts_in_bands(rows, wanted.select(key, "_band").distinct(), key)
+    counts = _counts_in_bands(rows, wanted.select(key, "_band"), key)
     in_band = (
         Window.partitionBy(key, "_band")
         .orderBy("_cents")
@@ -132,7 +132,7 @@ def _rank(name: str, rank: Column, weight: Column) -> Column:
 
 
 def _counts_in_bands(rows: DataFrame, bands: DataFrame, key: str) -> DataFrame:
-    """Rows per cent within the given bands."""
+    """Rows per cent within the given bands, which may be named more than once."""
     bands = bands.withColumnsRenamed({key: "_key", "_band": "_kept"})
     same_band = F.col("_band") == F.col("_kept")
     per_cent = [key, "_band", "_cents"]
