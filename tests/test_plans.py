@@ -7,12 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from conftest import TESTDATA
 from millrace.plans import star
+from millrace.plans.registry import QUERIES
 from millrace.sources.shared import broadcast_if_small, checkpointed
 
-BATCH = [name for name in contract.queries() if not name.startswith("stream_")]
+BATCH = [name for name in QUERIES if not name.startswith("stream_")]
 
 
 @pytest.fixture
@@ -21,7 +21,7 @@ def plan(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
 
     def run(name: str) -> str:
-        df = contract.queries()[name](spark, f"{TESTDATA}/sf0.01")
+        df = QUERIES[name](spark, f"{TESTDATA}/sf0.01")
         df.collect()
         text = df._jdf.queryExecution().executedPlan().toString()
         return text.split("== Initial Plan ==")[0]

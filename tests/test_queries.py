@@ -7,8 +7,10 @@ import pytest
 import __spark_entry__ as contract
 from compare import assert_same, duckdb_over, rows_of
 from conftest import TESTDATA
+from millrace.plans.oracle import ORACLE_SQL
+from millrace.plans.registry import QUERIES
 
-NAMES = list(contract.queries())
+NAMES = list(QUERIES)
 JOINS = [
     "revenue_by_region_year",
     "orders_without_lines",
@@ -23,8 +25,8 @@ JOINS = [
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, name, scale):
     sf_dir = f"{TESTDATA}/{scale}"
-    df = contract.queries()[name](spark, sf_dir)
-    rows = assert_same(df, duckdb_over(sf_dir), contract.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    rows = assert_same(df, duckdb_over(sf_dir), ORACLE_SQL[name])
     # At the smallest scale each nation may well have a poor supplier.
     assert rows > 0 or (name, scale) == ("nations_without_poor_suppliers", "sf0.001")
 
@@ -35,8 +37,8 @@ def test_query_without_broadcast(spark, conf, name):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     sf_dir = f"{TESTDATA}/sf0.01"
-    df = contract.queries()[name](spark, sf_dir)
-    assert_same(df, duckdb_over(sf_dir), contract.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    assert_same(df, duckdb_over(sf_dir), ORACLE_SQL[name])
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -44,12 +46,18 @@ def test_query_in_another_time_zone(spark, conf, name):
     """The tables hold times without zone, so the session's zone must not matter."""
     conf("spark.sql.session.timeZone", "America/Sao_Paulo")
     sf_dir = f"{TESTDATA}/sf0.001"
-    df = contract.queries()[name](spark, sf_dir)
-    assert_same(df, duckdb_over(sf_dir), contract.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    assert_same(df, duckdb_over(sf_dir), ORACLE_SQL[name])
 
 
 def test_sql_is_given_for_every_query():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(ORACLE_SQL) == set(NAMES)
+
+
+def test_the_contract_names_every_query():
+    assert set(NAMES) <= set(contract.queries())
+    assert set(NAMES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_returns_rows(spark):
