@@ -6,8 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe
+from millrace.llm import bpe, decontaminate, warc
+from millrace.llm.frames import sha256_of
+from millrace.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,37 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC files and read back from them."""
+    folder = warc.archive_folder(spark)
+    pages = _read(spark, sf_dir, "pages")
+    manifest = warc.write_archive(pages, "page_id", "url", "html", folder)
+    return warc.read_archive(manifest, folder).select(
+        F.col("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that occur in the benchmark, in windows of ten."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _read(spark, sf_dir, "benchmark")
+    found = decontaminate.find_contamination(
+        docs, "text", items, "item_id", "text", with_text=False
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        sha256_of(F.concat_ws(",", "items")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document."""
     docs = _read(spark, sf_dir, "documents")
@@ -23,6 +57,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op9_bpe,)
+    query.__name__: query for query in (op2_warc, op4_benchmark_decontamination, op9_bpe)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = SQL
