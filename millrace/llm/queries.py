@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, warc
+from millrace.llm import bpe, decontaminate, suffix_dedup, warc
 from millrace.llm.frames import sha256_of
 from millrace.llm.sql import SQL
 
@@ -19,6 +19,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that repeat."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, "doc_id", "text", with_kept=False)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC files and read back from them."""
     folder = warc.archive_folder(spark)
@@ -57,6 +64,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op2_warc, op4_benchmark_decontamination, op9_bpe)
+    query.__name__: query for query in (op1_suffix_dedup, op2_warc, op4_benchmark_decontamination, op9_bpe)
 }
 ORACLE_SQL: dict[str, str] = SQL
