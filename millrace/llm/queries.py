@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, suffix_dedup, warc
+from millrace.llm import bpe, decontaminate, substring_dedup, suffix_dedup, warc
 from millrace.llm.frames import sha256_of
 from millrace.llm.sql import SQL
 
@@ -40,6 +40,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that an earlier one has."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substring_dedup.remove_earlier(docs, "doc_id", "text", with_kept=False)
+    return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that occur in the benchmark, in windows of ten."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +71,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_suffix_dedup, op2_warc, op4_benchmark_decontamination, op9_bpe)
+    query.__name__: query for query in (op1_suffix_dedup, op2_warc, op3_substring_dedup, op4_benchmark_decontamination, op9_bpe)
 }
 ORACLE_SQL: dict[str, str] = SQL

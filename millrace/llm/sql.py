@@ -49,7 +49,31 @@ select d.doc_id, cast(len(w) as bigint) as n_words,
 from d left join hit_words using (doc_id) left join named using (doc_id)
 """
 
+_SUBSTRINGS = """
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), windows as (
+  select doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) as gram
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50)
+), firsts as (
+  select gram, min(coalesce(doc_id, 9223372036854775807)) as first from windows group by gram
+), gone as (
+  select distinct doc_id, unnest(range(i, i + 50)) as p
+  from windows join firsts using (gram) where coalesce(doc_id, 9223372036854775807) > first
+), kept as (
+  select d.doc_id, string_agg(word, ' ' order by p) as kept, count(*) as n
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d) d
+  anti join gone on gone.doc_id = d.doc_id and gone.p = d.p group by d.doc_id
+)
+select d.doc_id, cast(len(w) as bigint) as n_words,
+  cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
 SQL = {
     "op2_warc": _WARC,
+    "op3_substring_dedup": _SUBSTRINGS,
     "op4_benchmark_decontamination": _DECONTAMINATE,
 }
