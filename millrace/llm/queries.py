@@ -8,7 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, substring_dedup, suffix_dedup, warc
+from millrace.llm import (
+    bpe,
+    decontaminate,
+    jaccard_join,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+)
 from millrace.llm.frames import sha256_of
 from millrace.llm.sql import SQL
 
@@ -64,6 +71,13 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a Jaccard similarity of 0.8 or more."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = jaccard_join.near_duplicates(docs, "doc_id", "text")
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document."""
     docs = _read(spark, sf_dir, "documents")
@@ -71,6 +85,14 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_suffix_dedup, op2_warc, op3_substring_dedup, op4_benchmark_decontamination, op9_bpe)
+    query.__name__: query
+    for query in (
+        op1_suffix_dedup,
+        op2_warc,
+        op3_substring_dedup,
+        op4_benchmark_decontamination,
+        op8_jaccard_join,
+        op9_bpe,
+    )
 }
 ORACLE_SQL: dict[str, str] = SQL
