@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 _MULT = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULT, -1, 2**64)
@@ -40,10 +40,10 @@ def chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iter
         column = column.combine_chunks()
     if len(column) == 0:
         return
-    column = column.cast(pa.large_binary())
     buffers = column.buffers()
-    offsets = np.frombuffer(buffers[1], dtype=np.int64)
-    offsets = offsets[column.offset : column.offset + len(column) + 1]
+    wide = column.type in (pa.large_string(), pa.large_binary())
+    offsets = np.frombuffer(buffers[1], dtype=np.int64 if wide else np.int32)
+    offsets = offsets[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] else np.zeros(0, np.uint8)
     at = 0
     while at < len(column):

@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.frames import small_batches
+
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF = 4  # bytes that are merged pair by pair, without cutting them further
 MAX_CACHED = 600_000  # pieces and parts kept by one encoder; then it starts afresh
@@ -199,7 +201,7 @@ def encode_texts(
     texts have no tokens; repeated rows give repeated results; other columns of
     ``docs`` are not read, whatever their names.
     """
-    source = docs.select(
+    source = small_batches(docs).select(
         F.col(id_column).alias("doc"), F.col(text_column).alias("text")
     )
     kind = source.schema["doc"].dataType.simpleString()

@@ -20,17 +20,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lets Spark hand rows to Python in batches of a few megabytes, since texts may be
+    long and several tasks share an executor's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    return df
+
+
 def add_columns(
     df: DataFrame,
     fields: str,
     make: Callable[[pa.RecordBatch], dict[str, pa.Array]],
-    start: Callable[[], None] | None = None,
 ) -> DataFrame:
     """``df`` with the columns of ``fields``, made batch by batch where the rows are.
 
     Columns of ``df`` that have the name of a new one are replaced, but ``make`` sees
     them.
     """
+    small_batches(df)
     new = T.StructType.fromDDL(fields)
     kept = [f for f in df.schema.fields if f.name not in new.fieldNames()]
     schema = T.StructType([*kept, *new.fields])

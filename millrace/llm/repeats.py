@@ -32,10 +32,10 @@ from pyspark.sql import types as T
 
 from millrace.llm import anchors
 from millrace.llm.arrays import SPACED, Chunk, Hashes, Words, chunks, words
-from millrace.llm.frames import same, stored
+from millrace.llm.frames import same, small_batches, stored
 
 GROUP_CONTEXTS = 20_000
-_CONTEXT = "g bigint, c bigint, v bigint, left int, right int, content binary"
+_WINDOWS = "g bigint, c bigint, v bigint, distance int, w bigint"
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,16 @@ class Unit:
         )
 
 
-Resolver = Callable[[DataFrame, Unit], DataFrame]
+@dataclass(frozen=True)
+class Resolver:
+    """Finds the repeated windows of contexts: ``send`` makes of a task's contexts the
+    rows, of type ``schema``, that are dealt out by ``deal``; ``match`` turns what has
+    met there into ``g, c, low, high``."""
+
+    schema: str
+    send: Callable[[Iterator[pa.RecordBatch], int], Iterator[pa.RecordBatch]]
+    deal: Callable[[DataFrame, int], DataFrame]
+    match: Callable[[Iterator[pa.RecordBatch], Unit], Iterator[pa.RecordBatch]]
 
 
 def with_keys(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -78,7 +87,7 @@ def with_keys(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text, and all other columns."""
     others = [F.col(f"`{name}`") for name in docs.columns if name != text_column]
     text = F.coalesce(F.col(text_column), F.lit(""))
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_column).cast("bigint").alias("doc"),
         F.xxhash64(text).alias("h"),
         text.alias("text"),
@@ -208,15 +217,29 @@ def _resolved(
         sizes.filter(F.col("contexts") > GROUP_CONTEXTS).select("g"), "crowded"
     )
     few = contexts.join(crowded, "g", "left_anti")
-    found = resolve(_contents(keyed, few, unit), unit)
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = _contents(
+        keyed, few, unit, lambda batches: resolve.send(batches, parts), resolve.schema
+    )
+    found = resolve.deal(sent, parts).mapInArrow(
+        lambda batches: resolve.match(batches, unit), "g bigint, c bigint, low int, high int"
+    )
     if crowded.isEmpty():
         return found
     rest = contexts.join(crowded, "g", "left_semi")
-    return found.unionByName(_by_window(_contents(keyed, rest, unit), unit))
+    windows = _contents(keyed, rest, unit, lambda batches: _windows(batches, unit), _WINDOWS)
+    return found.unionByName(_by_window(windows, unit))
 
 
-def _contents(keyed: DataFrame, contexts: DataFrame, unit: Unit) -> DataFrame:
-    """Each context with its codes, taken from the text that holds it."""
+def _contents(
+    keyed: DataFrame,
+    contexts: DataFrame,
+    unit: Unit,
+    send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """What ``send`` makes of the contexts with their codes, each taken from the text
+    that holds it."""
     wanted = (
         contexts.select("g", "c", "n", "v", "holder.*")
         .groupBy("doc", "h")
@@ -227,7 +250,7 @@ def _contents(keyed: DataFrame, contexts: DataFrame, unit: Unit) -> DataFrame:
     return (
         texts.join(wanted, on)
         .select("text", "wanted")
-        .mapInArrow(lambda batches: _cut_contexts(batches, unit), _CONTEXT)
+        .mapInArrow(lambda batches: send(_cut_contexts(batches, unit)), schema)
     )
 
 
@@ -278,40 +301,34 @@ def window_hashes(
     return owner, distance, hashes.runs(at, at + unit.window)
 
 
-def _by_window(contents: DataFrame, unit: Unit) -> DataFrame:
-    """Every window a row, spread by its own hash."""
+def _windows(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        owner, distance, value = window_hashes(
+            unit,
+            rows.column("content").to_pylist(),
+            rows.column("left").to_numpy(zero_copy_only=False),
+            rows.column("right").to_numpy(zero_copy_only=False),
+        )
+        taken = pa.array(owner)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "g": rows.column("g").take(taken),
+                "c": rows.column("c").take(taken),
+                "v": rows.column("v").take(taken),
+                "distance": pa.array(distance.astype(np.int32)),
+                "w": _signed(value),
+            }
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                rows = batch.slice(start, 500)
-                owner, distance, value = window_hashes(
-                    unit,
-                    rows.column("content").to_pylist(),
-                    rows.column("left").to_numpy(zero_copy_only=False),
-                    rows.column("right").to_numpy(zero_copy_only=False),
-                )
-                taken = pa.array(owner)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "g": rows.column("g").take(taken),
-                        "c": rows.column("c").take(taken),
-                        "v": rows.column("v").take(taken),
-                        "distance": pa.array(distance.astype(np.int32)),
-                        "w": _signed(value),
-                    }
-                )
-
-    # A text that occurs in several rows lends its contexts as often.
-    windows = stored(
-        contents.mapInArrow(run, "g bigint, c bigint, v bigint, distance int, w bigint"),
-        "windows",
-    )
+
+def _by_window(windows: DataFrame, unit: Unit) -> DataFrame:
+    """Every window a row, spread by its own hash."""
+    windows = stored(windows, "windows")
     key = ["g", "distance", "w"]
     seen = windows.groupBy(*key).agg(
         F.min("v").alias("first"), (F.min("c") != F.max("c")).alias("shared")
     )
-    repeated: Column = F.col("first") < F.col("v") if unit.later_only else F.col("shared")
+    repeated: Column = F.col("first") < F.col("v") if unit.later_only else F.lit(True)
     return (
         windows.join(seen.filter("shared"), key)
         .filter(repeated)

@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from millrace.llm.arrays import SPACED, Chunk, covered, spans_of, words
-from millrace.llm.repeats import Unit, join_marks, marks, window_hashes, with_keys
+from millrace.llm.repeats import Resolver, Unit, join_marks, marks, window_hashes, with_keys
 
 WINDOW = 50
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 1_000_000
 
 
 class SuffixAutomaton:
@@ -112,7 +112,7 @@ def remove_earlier(
     words removed) and ``kept`` (those words, null where the text is)."""
     unit = Unit(by_words=True, window=window, core=max(window // 2, 1), later_only=True)
     keyed = with_keys(docs, id_column, text_column)
-    marked = join_marks(keyed, marks(keyed, unit, _resolve))
+    marked = join_marks(keyed, marks(keyed, unit, _RESOLVE))
     fields = "n_words bigint, n_removed bigint, kept_sha256 string"
     if with_kept:
         fields += ", spans array<struct<first: int, last: int>>, kept string"
@@ -167,21 +167,15 @@ def _remove(
         )
 
 
-def _resolve(contents: DataFrame, unit: Unit) -> DataFrame:
-    """Which windows of each context occur in a context of an earlier document."""
-    # Packed, as the contexts overlap each other and are most of what is moved here.
-    parts = int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        contents.mapInArrow(_pack, contents.schema)
-        .repartition(parts, "g")
-        .sortWithinPartitions("g", "v", "c")
-        .mapInArrow(
-            lambda batches: _shards(batches, unit), "g bigint, c bigint, low int, high int"
-        )
-    )
+_SENT = "g bigint, c bigint, v bigint, left int, right int, content binary"
+
 
+def _deal(contexts: DataFrame, parts: int) -> DataFrame:
+    return contexts.repartition(parts, "g").sortWithinPartitions("g", "v", "c")
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _pack(batches: Iterator[pa.RecordBatch], _parts: int) -> Iterator[pa.RecordBatch]:
+    """Contexts overlap each other and are most of what is moved here."""
     for batch in batches:
         data = [zlib.compress(x.as_py(), 1) for x in batch.column("content")]
         at = batch.schema.get_field_index("content")
@@ -261,3 +255,7 @@ def _match(held: list[dict], unit: Unit) -> Iterator[pa.RecordBatch]:
         [("g", pa.int64()), ("c", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]
     )
     yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+# Which windows of each context occur in a context of an earlier document.
+_RESOLVE = Resolver(_SENT, _pack, _deal, _shards)

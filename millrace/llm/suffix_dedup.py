@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.arrays import covered, spans_of
-from millrace.llm.repeats import Unit, join_marks, marks, window_hashes, with_keys
+from millrace.llm.repeats import Resolver, Unit, join_marks, marks, window_hashes, with_keys
 from millrace.llm.suffix_runs import decode_run, front_code, merge
 
 WINDOW = 400
-RUN_BYTES = 16_000_000  # suffixes that a task sorts at a time
+RUN_BYTES = 8_000_000  # suffixes that a task sorts at a time
 BLOCK = 500  # suffixes of a run that travel as one row
-GROUP_BYTES = 4_000_000  # contexts that are compared at a time
+GROUP_BYTES = 1_000_000  # contexts that are compared at a time
 _BLOCKS = (
     "part int, run bigint, block int, heads array<struct<g: bigint, c: bigint, "
     "left: int, right: int, shared: int, rest: int>>, content binary"
@@ -57,7 +57,7 @@ def remove_repeats(
     character. ``kept`` is null where the text is."""
     unit = Unit(by_words=False, window=window, core=window // 2, later_only=False)
     keyed = with_keys(docs, id_column, text_column)
-    marked = join_marks(keyed, marks(keyed, unit, _resolve))
+    marked = join_marks(keyed, marks(keyed, unit, _RESOLVE))
     fields = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     if with_kept:
         fields += ", spans array<struct<start: int, end: int>>, kept binary"
@@ -110,18 +110,9 @@ def _remove(
         )
 
 
-def _resolve(contents: DataFrame, unit: Unit) -> DataFrame:
-    """Which windows of each context occur in another, by merging sorted suffixes."""
-    spark = contents.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = contents.mapInArrow(lambda batches: _runs(batches, parts), _BLOCKS)
-    return (
-        blocks.repartitionById(parts, F.col("part"))
-        .sortWithinPartitions("part", "run", "block")
-        .mapInArrow(
-            lambda batches: _merge_runs(batches, unit),
-            "g bigint, c bigint, low int, high int",
-        )
+def _deal(blocks: DataFrame, parts: int) -> DataFrame:
+    return blocks.repartitionById(parts, F.col("part")).sortWithinPartitions(
+        "part", "run", "block"
     )
 
 
@@ -275,3 +266,7 @@ def _compare(groups: list[list[list]], unit: Unit) -> Iterator[pa.RecordBatch]:
             "high": pa.array(high[found]),
         }
     )
+
+
+# Which windows of each context occur in another, by merging sorted suffixes.
+_RESOLVE = Resolver(_BLOCKS, _runs, _deal, _merge_runs)
