@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from millrace.llm import (
     bpe,
     decontaminate,
+    embedding_dedup,
     jaccard_join,
+    language,
+    quality,
     substring_dedup,
     suffix_dedup,
     warc,
@@ -71,6 +74,15 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors."""
+    found = embedding_dedup.near_duplicates(
+        _read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label"
+    )
+    kept = F.col("vec_id").eqNullSafe(F.col("component_id"))
+    return found.select("vec_id", "n_links", "component_id", kept.alias("kept"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of 0.8 or more."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,6 +96,42 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, "doc_id", "text", keep_ids=False)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from four fifths of them."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = F.crc32(F.col("id").cast("string")) % 5
+    model = language.fit(docs, "doc_id", "text", "lang", use=remainder != 0)
+    found = language.identify(docs.select("doc_id", "text"), "text", model)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def quality_machine(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """The classifier of ``op10`` and of the pipeline, learnt from ``labels``."""
+    labels = _read(spark, sf_dir, "labels")
+    remainder = F.crc32(F.col("id").cast("string")) % 4
+    return quality.fit(
+        docs, "doc_id", "text", labels, "doc_id", "quality", use=remainder != 2
+    )
+
+
+GOOD = 0.7  # the least score of a text that is kept
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely every document is good, learnt from three quarters of the labels."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = quality_machine(spark, docs, sf_dir)
+    scored = quality.score(docs, "text", machine)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -91,8 +139,11 @@ QUERIES: dict[str, Query] = {
         op2_warc,
         op3_substring_dedup,
         op4_benchmark_decontamination,
+        op6_language_id,
+        op7_embedding_dedup,
         op8_jaccard_join,
         op9_bpe,
+        op10_quality_classifier,
     )
 }
 ORACLE_SQL: dict[str, str] = SQL
