@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import (
     bpe,
+    chat,
     decontaminate,
     embedding_dedup,
     jaccard_join,
@@ -96,6 +97,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, "doc_id", "text", keep_ids=False)
 
 
+def op5_chat_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's point of view."""
+    turns = _read(spark, sf_dir, "conversations")
+    found = chat.render_views(turns, "conv_id", "turn", "role", "text")
+    spans = F.transform("masks", lambda m: F.concat_ws("-", m["start"], m["end"]))
+    return found.select(
+        F.col("conv").alias("conv_id"),
+        "view",
+        "part",
+        "n_turns",
+        "start",
+        "text",
+        F.concat_ws(",", spans).alias("masks"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from four fifths of them."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -139,6 +156,7 @@ QUERIES: dict[str, Query] = {
         op2_warc,
         op3_substring_dedup,
         op4_benchmark_decontamination,
+        op5_chat_views,
         op6_language_id,
         op7_embedding_dedup,
         op8_jaccard_join,

@@ -72,8 +72,39 @@ select d.doc_id, cast(len(w) as bigint) as n_words,
 from d left join kept using (doc_id)
 """
 
+_CHAT = """
+with t as (
+  select conv_id, cast(floor(turn / 256.0) as bigint) as part, turn,
+    coalesce(role, 'unknown') as role, coalesce(text, '') as text from conversations
+), s as (
+  select distinct conv_id, role as view from t where role <> 'system'
+), r as (
+  select t.conv_id, view, part, turn, role, text,
+    case when role = 'system' then '<|system|>' when role = view then '<|assistant|>'
+      else '<|user ' || role || '|>' end || chr(10) as head, text || '<|end|>' as body
+  from t join s on s.conv_id is not distinct from t.conv_id
+), e as (
+  select *, sum(length(head) + length(body) + 1) over (partition by conv_id, view, part
+      order by turn nulls first, role, text rows unbounded preceding) - 1 as done
+  from r
+), p as (
+  select conv_id, view, part, count(*) as n_turns,
+    sum(length(head) + length(body) + 1) as size,
+    string_agg(head || body || chr(10), '' order by turn nulls first, role, text) as text,
+    coalesce(string_agg(case when role = view then
+      cast(done - length(body) as bigint) || '-' || cast(done as bigint) end, ','
+      order by turn nulls first, role, text), '') as masks
+  from e group by conv_id, view, part
+)
+select conv_id, view, part, n_turns, cast(coalesce(sum(size) over (
+  partition by conv_id, view order by part nulls first
+  rows between unbounded preceding and 1 preceding), 0) as bigint) as start, text, masks
+from p
+"""
+
 SQL = {
     "op2_warc": _WARC,
     "op3_substring_dedup": _SUBSTRINGS,
+    "op5_chat_views": _CHAT,
     "op4_benchmark_decontamination": _DECONTAMINATE,
 }
