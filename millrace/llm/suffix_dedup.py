@@ -53,14 +53,15 @@ def remove_repeats(
 ) -> DataFrame:
     """``docs`` without the text, but with ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs), ``kept_sha256`` and, if ``with_kept``, ``spans`` (byte
-    ranges removed) and ``kept``, the remaining bytes: the cuts may fall within a
-    character. ``kept`` is null where the text is."""
+    ranges removed), ``kept``, the remaining bytes, and ``kept_text``, the same as text:
+    where a cut falls within a character, the rest of it goes too. Both are null where
+    the text is."""
     unit = Unit(by_words=False, window=window, core=window // 2, later_only=False)
     keyed = with_keys(docs, id_column, text_column)
     marked = join_marks(keyed, marks(keyed, unit, _RESOLVE))
     fields = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     if with_kept:
-        fields += ", spans array<struct<start: int, end: int>>, kept binary"
+        fields += ", spans array<struct<start: int, end: int>>, kept binary, kept_text string"
     new = T.StructType.fromDDL(fields)
     schema = T.StructType([marked.schema["row"], *new.fields])
     done = marked.select("row", "text", "missing", "marks").mapInArrow(
@@ -100,10 +101,11 @@ def _remove(
                     [{"start": int(a), "end": int(b)} for a, b in zip(starts, ends)]
                 )
                 made["kept"].append(None if missing else kept)
+                made["kept_text"].append(None if missing else kept.decode(errors="ignore"))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
         if with_kept:
             span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-            kinds += [pa.list_(span), pa.binary()]
+            kinds += [pa.list_(span), pa.binary(), pa.string()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("row")] + [pa.array(made[n], k) for n, k in zip(names[1:], kinds)],
             names=names,
