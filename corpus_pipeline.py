@@ -3,26 +3,67 @@
 Stages take and return documents (``doc_id, text, lang, source, n_chars``); the last
 returns what it measures of each. What a stage returns is written as Parquet and read
 again before the next one, so that a lost executor costs one stage at most.
+
+A text that a stage changes has its ``n_chars`` counted anew; a document of whose text
+nothing is left is dropped. Null and blank texts are documents like others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe
+from millrace.llm import bpe, decontaminate, jaccard_join, quality, suffix_dedup
+from millrace.llm.queries import GOOD, quality_machine
 from millrace.sources.shared import new_run_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the quality classifier rejects."""
+    machine = quality_machine(spark, docs, sf_dir)
+    return quality.score(docs, "text", machine).filter(F.col("score") >= GOOD).drop("score")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the least id."""
+    return jaccard_join.keep_one(docs, "doc_id", "text")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without byte strings that repeat anywhere in the corpus."""
+    found = suffix_dedup.remove_repeats(docs, "doc_id", "text")
+    return _with_text(found, F.col("kept_text"), F.col("n_removed") > 0, docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the words that occur in the benchmark."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_contamination(docs, "text", items, "item_id", "text")
+    return _with_text(found, F.col("clean_text"), F.col("n_hit") > 0, docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens and digests of what is left."""
     return bpe.encode_texts(docs, "doc_id", "text", keep_ids=False)
 
 
+def _with_text(found: DataFrame, text: Column, changed: Column, columns: list[str]) -> DataFrame:
+    found = found.filter(~changed | (F.length(F.trim(text)) > 0))
+    n_chars = F.when(changed, F.length(text).cast("bigint"))
+    n_chars = n_chars.otherwise(F.col("n_chars")).alias("n_chars")
+    new = {"text": text.alias("text"), "n_chars": n_chars}
+    return found.select(*(new.get(name, F.col(name)) for name in columns))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", good_documents),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", without_benchmark),
     ("byte-level BPE", encode),
 ]
 
