@@ -19,10 +19,18 @@ def hundredths(column: str | Column) -> Column:
     """An amount or a rate with two decimals, stored as a double, as whole hundredths.
 
     Integers make sums exact and independent of row order, and cost a fraction of
-    what casting each double to a decimal does.
+    what casting each double to a decimal does. The query fails on a value that is no
+    such amount: NaN, infinite, 10^12 or more, or with more decimals than two. What a
+    double's own rounding may add is allowed for.
     """
     scaled = _col(column).cast("double") * 100
-    return F.when(scaled < 0, -F.floor(0.5 - scaled)).otherwise(F.floor(scaled + 0.5))
+    whole = F.when(scaled < 0, -F.floor(0.5 - scaled)).otherwise(F.floor(scaled + 0.5))
+    allowed = F.greatest(F.lit(1e-4), F.abs(scaled) * 4e-16)
+    # NaN is larger than any number.
+    fine = (F.abs(scaled) < 1e14) & (F.abs(scaled - whole) <= allowed)
+    message = F.concat(F.lit("not an amount with two decimals: "), _col(column).cast("string"))
+    failed = F.raise_error(message).cast("bigint")
+    return F.when(scaled.isNull(), F.lit(None)).when(fine, whole).otherwise(failed)
 
 
 def split_sum(units: Column, name: str) -> list[Column]:

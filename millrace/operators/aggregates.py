@@ -62,15 +62,17 @@ def latest_per_key(
 
 
 def count_matrix(
-    df: DataFrame, row: str, column: str, names: dict[str, str]
+    df: DataFrame, row: str, column: str, names: dict[str, str], other: str
 ) -> DataFrame:
-    """Row counts per ``row``, one output column per value of ``column``.
+    """Row counts per ``row``, one output column per value of ``column``, and ``other``
+    for rows with any other value or null, so that the counts add up to the rows.
 
     ``names`` maps each value to its output column. With the values given, this is
     one aggregation; ``pivot`` would add a second one and its shuffle.
     """
     return df.groupBy(row).agg(
-        *(F.count_if(F.col(column) == value).alias(name) for value, name in names.items())
+        *(F.count_if(F.col(column) == value).alias(name) for value, name in names.items()),
+        F.count_if(~F.coalesce(F.col(column).isin(*names), F.lit(False))).alias(other),
     )
 
 

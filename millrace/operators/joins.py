@@ -41,7 +41,8 @@ def last_before(
     row_id: str,
     source: Column,
     target: Column,
-    chunk: str = "1 minute",
+    chunk: str = "1 hour",
+    piece: str = "1 second",
 ) -> DataFrame:
     """As-of join: for each ``target`` row the last ``source`` row of the same key
     before it, by ``(ts, row_id)``.
@@ -50,11 +51,12 @@ def last_before(
     there is none. A row without key or time matches nothing.
 
     A window over all rows of a key would sort a hot key in one task. Rows are
-    partitioned by key and time chunk instead and searched within the chunk; what
-    earlier chunks hand on is one row per key and chunk, so the window that
-    carries it along holds at most as many rows as there are chunks in the data's
-    time range, however many rows the key has. Both steps share one shuffle of
-    the rows.
+    partitioned by key and time instead, in pieces (which should divide the chunks),
+    and searched within their piece. What earlier pieces hand on is one row per key
+    and piece: it is carried along within a chunk, and over chunks as one row per key
+    and chunk. So no window holds more rows than a piece has, a chunk has pieces, or
+    the data's time range has chunks, however many rows the key has. All steps share
+    one shuffle of the rows.
     """
     known = F.col(key).isNotNull() & F.col(ts).isNotNull()
     rows = (
@@ -67,33 +69,48 @@ def last_before(
             target.alias("_target"),
             time_bucket(ts, chunk).alias("_chunk"),
         )
-        .repartition(key, "_chunk")
+        .withColumn("_piece", time_bucket(ts, piece))
+        # All steps name the same columns and conditions, so that they share the shuffle.
+        .filter(F.col("_chunk").isNotNull() & F.col("_piece").isNotNull())
+        .repartition(key, "_chunk", "_piece")
     )
     mark = F.when(F.col("_source"), F.struct(ts, row_id))
 
     within = (
-        Window.partitionBy(key, "_chunk")
+        Window.partitionBy(key, "_chunk", "_piece")
         .orderBy(ts, row_id)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     targets = rows.withColumn("_here", F.last(mark, ignorenulls=True).over(within))
 
-    earlier = (
-        Window.partitionBy(key)
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    def so_far(*keys: str, order: str) -> Column:
+        rows_before = (Window.unboundedPreceding, -1)
+        window = Window.partitionBy(*keys).orderBy(order).rowsBetween(*rows_before)
+        return F.last("_last", ignorenulls=True).over(window)
+
+    pieces = rows.groupBy(key, "_chunk", "_piece").agg(
+        F.max(mark).alias("_last"), F.max("_target").alias("_wanted")
+    )
+    chunks = (
+        pieces.groupBy(key, "_chunk")
+        .agg(F.max("_last").alias("_last"), F.max("_wanted").alias("_needed"))
+        .withColumn("_before", so_far(key, order="_chunk"))
+        .filter("_needed")
+        .select(key, "_chunk", "_before")
     )
     carried = (
-        rows.groupBy(key, "_chunk")
-        .agg(F.max(mark).alias("_last"), F.max("_target").alias("_wanted"))
-        .withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
-        .filter(F.col("_wanted") & F.col("_carried").isNotNull())
-        .select(key, "_chunk", "_carried")
+        pieces.withColumn("_within", so_far(key, "_chunk", order="_piece"))
+        .filter("_wanted")
+        .join(chunks, [key, "_chunk"])
+        .select(
+            key, "_chunk", "_piece", F.coalesce("_within", "_before").alias("_carried")
+        )
+        .filter(F.col("_carried").isNotNull())
     )
     found = F.coalesce("_here", "_carried")
     matched = (
         targets.filter("_target")
-        .join(carried, [key, "_chunk"], "left")
+        .join(carried, [key, "_chunk", "_piece"], "left")
         .select(
             key,
             row_id,

@@ -53,7 +53,8 @@ def last_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_prop_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum of the JSON property ``k`` per event type; what is no integer is left out."""
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    raw = F.get_json_object("props", "$.k")
+    k = F.when(raw.rlike(r"^[+-]?[0-9]+$"), raw.try_cast("bigint"))
     return total_per_key(table(spark, sf_dir, "events"), "event_type", k, "total_k")
 
 

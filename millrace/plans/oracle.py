@@ -79,22 +79,28 @@ ORACLE_SQL: dict[str, str] = {
     "monthly_revenue_trend": """
         select order_month,
                cast(order_value as decimal(38,2)) as order_value,
-               cast(order_value - lag(order_value) over (order by order_month)
-                    as decimal(38,2)) as change,
-               cast(sum(order_value) over (order by order_month
-                    rows between 2 preceding and current row) as decimal(38,2)) as three_months
+               cast(order_value - case when lag(number) over months = number - 1
+                    then lag(order_value) over months end as decimal(38,2)) as change,
+               cast(case when number is not null then sum(order_value) over (
+                    partition by number is null order by number
+                    range between 2 preceding and current row) end as decimal(38,2))
+                   as three_months
         from (
             select date_trunc('month', o_orderdate) as order_month,
+                   cast(year(o_orderdate) * 12 + month(o_orderdate) as bigint) as number,
                    sum(cast(o_totalprice as decimal(12,2))) as order_value
             from orders
-            group by 1
+            group by 1, 2
         )
+        window months as (partition by number is null order by number)
     """,
     "orders_priority_by_status": """
         select o_orderpriority,
                cast(count(*) filter (where o_orderstatus = 'F') as bigint) as n_f,
                cast(count(*) filter (where o_orderstatus = 'O') as bigint) as n_o,
-               cast(count(*) filter (where o_orderstatus = 'P') as bigint) as n_p
+               cast(count(*) filter (where o_orderstatus = 'P') as bigint) as n_p,
+               cast(count(*) filter (where o_orderstatus is null
+                    or o_orderstatus not in ('F', 'O', 'P')) as bigint) as n_other
         from orders
         group by o_orderpriority
     """,
@@ -118,6 +124,7 @@ ORACLE_SQL: dict[str, str] = {
         select time_bucket(interval 1 hour, ts) as window_start, event_type,
                cast(count(*) as bigint) as n_events
         from events
+        where ts is not null
         group by 1, 2
     """,
     "events_sliding": """
@@ -127,21 +134,35 @@ ORACLE_SQL: dict[str, str] = {
             union all
             select time_bucket(interval 30 minutes, ts) - interval 30 minutes from events
         )
+        where window_start is not null
         group by window_start
     """,
     "user_sessions": _SESSIONS,
     "last_view_before_purchase": """
-        select p.user_id, p.event_id as purchase_id, p.ts as purchase_ts,
-               v.event_id as view_id, v.ts as view_ts
-        from (select * from events where event_type = 'purchase') p
-        asof left join (select * from events where event_type = 'view') v
-          on p.user_id = v.user_id and p.ts >= v.ts
+        select user_id, event_id as purchase_id, ts as purchase_ts,
+               case when user_id is not null and ts is not null then view_id end as view_id,
+               case when user_id is not null and ts is not null then view_ts end as view_ts
+        from (
+            select *,
+                   last_value(case when event_type = 'view' then event_id end ignore nulls)
+                       over before as view_id,
+                   last_value(case when event_type = 'view' then ts end ignore nulls)
+                       over before as view_ts
+            from events
+            window before as (partition by user_id, ts is null order by ts, event_id
+                              rows between unbounded preceding and 1 preceding)
+        )
+        where event_type = 'purchase'
     """,
     "json_prop_totals": """
         select event_type,
-               cast(sum(try_cast(json_extract_string(props, '$.k') as bigint)) as bigint)
-                   as total_k
-        from events
+               cast(sum(case when regexp_full_match(k, '[+-]?[0-9]+')
+                    then try_cast(ltrim(k, '+') as bigint) end) as bigint) as total_k
+        from (
+            select event_type,
+                   json_extract_string(case when json_valid(props) then props end, '$.k') as k
+            from events
+        )
         group by event_type
     """,
     "latest_event_per_user": """
@@ -162,6 +183,7 @@ ORACLE_SQL: dict[str, str] = {
         select time_bucket(interval 1 hour, ts) as window_start,
                cast(count(*) as bigint) as n_events
         from events
+        where ts is not null
         group by 1
         having time_bucket(interval 1 hour, ts) + interval 1 hour <= {_WATERMARK}
     """,

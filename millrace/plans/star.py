@@ -104,7 +104,9 @@ def monthly_revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order value per month, the change from the month before and the sum over
     three months.
 
-    The windows have no partition: they run over one row per calendar month.
+    Months are calendar months: one without orders counts as nothing in the sum, and
+    the month after it has no change. Orders without a date are a month of their own
+    that has neither. The windows run over one row per calendar month.
     """
     month = F.trunc("o_orderdate", "month").cast("timestamp_ntz")
     months = (
@@ -113,9 +115,14 @@ def monthly_revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(*split_sum(hundredths("o_totalprice"), "value"))
         .select("order_month", split_total("value", 2).alias("order_value"))
     )
-    in_order = Window.orderBy("order_month")
-    change = F.col("order_value") - F.lag("order_value").over(in_order)
-    moving = F.sum("order_value").over(in_order.rowsBetween(-2, 0))
+    number = F.year("order_month") * 12 + F.month("order_month")
+    months = months.withColumn("number", number)
+    known = F.col("number").isNotNull()
+    in_order = Window.partitionBy(known).orderBy("number")
+    follows = F.lag("number").over(in_order) == F.col("number") - 1
+    before = F.when(follows, F.lag("order_value").over(in_order))
+    change = F.col("order_value") - before
+    moving = F.when(known, F.sum("order_value").over(in_order.rangeBetween(-2, 0)))
     return months.select(
         "order_month",
         "order_value",
@@ -125,12 +132,13 @@ def monthly_revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_priority_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per priority, one column per status."""
+    """Orders per priority, one column per status and one for any other or none."""
     return count_matrix(
         table(spark, sf_dir, "orders"),
         "o_orderpriority",
         "o_orderstatus",
         {"F": "n_f", "O": "n_o", "P": "n_p"},
+        "n_other",
     )
 
 

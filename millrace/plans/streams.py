@@ -10,27 +10,39 @@ from millrace.streaming.operators import stream_counts, stream_distinct, stream_
 from millrace.streaming.run import run_once
 
 DELAY = "10 minutes"
+# Files of the event table that make a micro-batch. State is evicted between batches, so
+# it is bounded by a batch, not by the backlog. The files should follow each other in
+# time; a run in which rows were too late fails. With None all files are one batch.
+FILES_PER_BATCH = 16
 
 
-def stream_events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_events_hourly(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | None = FILES_PER_BATCH
+) -> DataFrame:
     """Events per hour, for the hours the watermark has passed."""
-    counts = stream_counts(_events(spark, sf_dir), "ts", "1 hour", DELAY)
+    events = _events(spark, sf_dir, files_per_batch)
+    counts = stream_counts(events, "ts", "1 hour", DELAY)
     named = counts.withColumnRenamed("n_rows", "n_events")
     return run_once(named, "stream_events_hourly")
 
 
-def stream_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_user_sessions(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | None = FILES_PER_BATCH
+) -> DataFrame:
     """Sessions of each user, for those the watermark has passed."""
-    sessions = stream_sessions(
-        _events(spark, sf_dir), "user_id", "ts", "30 minutes", DELAY
-    )
+    events = _events(spark, sf_dir, files_per_batch)
+    sessions = stream_sessions(events, "user_id", "ts", "30 minutes", DELAY)
     named = sessions.withColumnRenamed("n_rows", "n_events")
     return run_once(named, "stream_user_sessions")
 
 
-def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_dedup(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | None = FILES_PER_BATCH
+) -> DataFrame:
     """The event stream delivered twice, each event kept once."""
-    twice = _events(spark, sf_dir).unionByName(_events(spark, sf_dir))
+    twice = _events(spark, sf_dir, files_per_batch).unionByName(
+        _events(spark, sf_dir, files_per_batch)
+    )
     kept = stream_distinct(
         twice.select("event_id", "ts", "user_id", "event_type", "value"),
         "event_id",
@@ -40,5 +52,6 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_once(kept.withColumn("ts", as_wall("ts")), "stream_dedup")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_stream(spark, sf_dir, "events").withColumn("ts", as_instant("ts"))
+def _events(spark: SparkSession, sf_dir: str, files_per_batch: int | None) -> DataFrame:
+    events = table_stream(spark, sf_dir, "events", files_per_batch)
+    return events.withColumn("ts", as_instant("ts"))

@@ -48,19 +48,41 @@ def stream_distinct(stream: DataFrame, row_id: str, ts: str, delay: str) -> Data
     """Rows whose ``row_id`` was not seen before, as long as copies arrive within
     ``delay`` of each other.
 
-    Spark has no partial step for this before its shuffle, so each Arrow batch
-    first drops the copies inside it: an id repeated in most of the rows crosses
-    the shuffle once per batch. The state then drops the remaining copies.
+    Spark has no partial step for this before its shuffle, so each task first drops
+    copies itself and keeps, of each id, the one with the latest time: that one is
+    late only if all are, so no id is lost to the watermark. An id repeated in most
+    of the rows crosses the shuffle once per task. The state then drops the remaining
+    copies.
     """
-    thinned = stream.mapInArrow(_first_of_each(row_id), stream.schema)
+    thinned = stream.mapInArrow(_latest_of_each(row_id, ts), stream.schema)
     return thinned.withWatermark(ts, delay).dropDuplicatesWithinWatermark([row_id])
 
 
-def _first_of_each(row_id: str):
+# Ids that a task remembers while it thins; more are sent on and thinned anew. It bounds
+# the task's memory and changes how many copies are left to the state, nothing else.
+HELD_IDS = 50_000
+
+
+def _latest_of_each(row_id: str, ts: str):
+    """The latest row of each id (without a time only if no copy has one)."""
+
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            codes = batch.column(row_id).dictionary_encode(null_encoding="encode")
-            _, first = np.unique(codes.indices.to_numpy(), return_index=True)
-            yield batch.take(pa.array(np.sort(first)))
+            rows = pa.Table.from_batches([batch])
+            held = _thinned(rows if held is None else pa.concat_tables([held, rows]))
+            if held.num_rows >= HELD_IDS:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+
+    def _thinned(rows: pa.Table) -> pa.Table:
+        ids = rows.column(row_id).combine_chunks().dictionary_encode(null_encoding="encode")
+        times = rows.column(ts).combine_chunks().cast(pa.int64()).fill_null(-(2**63))
+        codes = ids.indices.to_numpy()
+        order = np.lexsort((times.to_numpy(), codes))
+        last = np.append(codes[order][1:] != codes[order][:-1], True)
+        return rows.take(pa.array(np.sort(order[last]))) if len(order) else rows
 
     return thin

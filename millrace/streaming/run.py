@@ -18,15 +18,25 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Counting the rows in the store reads each key before writing it.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # All batches of a run are looked through for rows that came too late.
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
     # Each task joins its rows into sessions before the shuffle, so a user with
     # most of the rows sends sessions, not rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+class LateRows(RuntimeError):
+    """Rows came after the watermark had passed them and were left out."""
+
+
+def run_available(
+    stream: DataFrame, path: str, checkpoint: str, allow_late: bool = False
+) -> DataFrame:
     """Process all available input, append the results at ``path``, return that table.
 
+    Raises ``LateRows`` if the watermark dropped rows, unless that is allowed.
+
     Calling it again with the same folders goes on where the last run stopped; each
     input row counts once even if tasks or whole runs fail in between. Both folders
     must be on storage that all executors share.
@@ -41,6 +51,12 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
             .start(path)
         )
     query.awaitTermination()
+    dropped = rows_dropped(query.recentProgress)
+    if dropped and not allow_late:
+        raise LateRows(
+            f"{dropped} rows came too late: take the files in time order, more of them "
+            "per batch, or allow late rows"
+        )
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -50,6 +66,15 @@ def run_once(stream: DataFrame, name: str) -> DataFrame:
     return run_available(stream, f"{folder}/table", f"{folder}/checkpoint")
 
 
+def rows_dropped(progress: list) -> int:
+    """Rows that the watermark has kept from any stateful step, over all batches."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for batch in progress
+        for operator in batch["stateOperators"]
+    )
+
+
 @contextmanager
 def _session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Settings for the queries started inside; a query copies the session's."""

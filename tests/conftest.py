@@ -16,13 +16,14 @@ def event_log(tmp_path_factory):
 
 
 @pytest.fixture(scope="session")
-def spark(event_log):
+def spark(event_log, tmp_path_factory):
     session = build_session(
         "local[8]",
         **{
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": str(event_log),
             "spark.eventLog.compress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

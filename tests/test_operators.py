@@ -92,8 +92,17 @@ def last_view(rows, user, ts, event_id):
     return max(earlier, default=(None, None))
 
 
-@pytest.mark.parametrize("chunk", ["1 minute", "15 minutes", "30 days"])
-def test_last_before_equals_brute_force(spark, chunk):
+@pytest.mark.parametrize(
+    "chunk, piece",
+    [
+        ("1 minute", "1 minute"),
+        ("15 minutes", "1 second"),
+        ("1 hour", "5 minutes"),
+        ("30 days", "1 minute"),
+        ("30 days", "30 days"),
+    ],
+)
+def test_last_before_equals_brute_force(spark, chunk, piece):
     rows = random_events(900, 3)
     expected = Counter()
     for i, user, ts, kind in rows:
@@ -110,6 +119,7 @@ def test_last_before_equals_brute_force(spark, chunk):
         kind == "view",
         kind == "purchase",
         chunk,
+        piece,
     )
     assert got.columns == ["user_id", "event_id", "ts", "source_id", "source_ts"]
     assert Counter(tuple(row) for row in got.collect()) == expected
@@ -239,9 +249,10 @@ def test_latest_per_key_breaks_ties_by_the_next_column(spark):
 
 
 def test_count_matrix_fills_missing_cells(spark):
-    df = spark.createDataFrame([("x", "F"), ("x", "F"), ("y", "P")], "p string, s string")
-    got = count_matrix(df, "p", "s", {"F": "n_f", "O": "n_o", "P": "n_p"})
-    assert collected(got) == [("x", 2, 0, 0), ("y", 0, 0, 1)]
+    rows = [("x", "F"), ("x", "F"), ("y", "P"), ("y", "Q"), ("y", None)]
+    df = spark.createDataFrame(rows, "p string, s string")
+    got = count_matrix(df, "p", "s", {"F": "n_f", "O": "n_o", "P": "n_p"}, "n_other")
+    assert collected(got) == [("x", 2, 0, 0, 0), ("y", 0, 0, 1, 2)]
 
 
 def test_top_per_group_breaks_ties(spark):

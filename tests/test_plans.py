@@ -63,7 +63,10 @@ def test_top_customers_are_cut_before_the_shuffle(plan):
 
 def test_as_of_reads_and_shuffles_the_rows_once(plan):
     text = plan("last_view_before_purchase")
-    assert len(re.findall(r"ReusedExchange", text)) == 1
+    # Only one shuffle is of the table's rows, and it is used again; the others are of
+    # one row per user and second, or less.
+    assert len(set(re.findall(r"REPARTITION_BY_COL, \[plan_id=(\d+)", text))) == 1
+    assert len(re.findall(r"ReusedExchange", text)) >= 2
     # The second scan is for purchases without a user or time.
     assert len(re.findall(r"FileScan", text)) == 2
 
@@ -84,3 +87,10 @@ def test_broadcast_is_refused_over_the_bound(spark):
     df = checkpointed(spark.range(11).select(F.col("id").alias("k")))
     assert broadcast_if_small(df, 10) is None
     assert broadcast_if_small(df, 11) is not None
+
+
+def test_broadcast_is_refused_for_few_wide_rows(spark):
+    wide = spark.range(5).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    wide = checkpointed(wide.withColumn("a", F.array("s", "s")))
+    assert broadcast_if_small(wide, 10, max_bytes=10_000) is None
+    assert broadcast_if_small(wide.select("id", "s"), 10, max_bytes=10_000) is not None

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+import time
+import uuid
 from types import SimpleNamespace
 
 import pytest
@@ -12,7 +15,8 @@ from compare import rows_of
 from conftest import TESTDATA
 from millrace.plans.star import write_orders_by_year
 from millrace.sources.partitioned import write_partitioned
-from millrace.sources.shared import new_run_dir, shared_dir
+from millrace.sources import shared
+from millrace.sources.shared import new_run_dir, remove_old_runs, shared_dir
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.run import run_available
 
@@ -93,6 +97,26 @@ def test_shared_folder_of_a_local_session():
     assert used == [shared_dir(session)]
 
 
+def test_old_runs_are_removed_and_nothing_else(tmp_path, spark, monkeypatch):
+    root = tmp_path / "millrace"
+    old, new = (root / f"q-{uuid.uuid4()}" for _ in range(2))
+    touched = root / f"q-{uuid.uuid4()}"
+    others = [root / "notes", tmp_path / f"q-{uuid.uuid4()}"]
+    for folder in (old, new, touched, *others):
+        (folder / "table").mkdir(parents=True)
+        (folder / "table" / "part").write_text("x")
+    hour_ago = time.time() - 3600
+    for folder in (old, touched, *others):
+        for path in (folder / "table" / "part", folder / "table", folder):
+            os.utime(path, (hour_ago, hour_ago))
+    (touched / "table" / "part").write_text("y")
+    monkeypatch.setattr(shared, "shared_dir", lambda _: str(tmp_path))
+    assert remove_old_runs(spark, older_than_hours=0.5) == [old.name]
+    assert not old.exists()
+    assert all(folder.exists() for folder in (new, touched, *others))
+    assert remove_old_runs(spark, older_than_hours=0.5) == []
+
+
 def test_runs_get_folders_of_their_own(spark):
     assert new_run_dir(spark, "x") != new_run_dir(spark, "x")
     assert new_run_dir(spark, "x").startswith(shared_dir(spark))

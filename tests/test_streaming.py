@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import timedelta
 
 import pytest
@@ -13,7 +14,10 @@ from conftest import TESTDATA, at
 from millrace.functions.values import as_instant, as_wall
 from millrace.sources.tables import table, table_stream
 from millrace.streaming.operators import stream_counts, stream_distinct, stream_sessions
-from millrace.streaming.run import run_available
+from millrace.plans import streams
+from millrace.streaming import operators as streaming_operators
+from millrace.streaming import run as streaming_run
+from millrace.streaming.run import LateRows, run_available
 
 SCHEMA = "event_id bigint, user_id bigint, ts timestamp_ntz"
 
@@ -28,10 +32,11 @@ class Feed:
         df = self.spark.createDataFrame(list(rows), SCHEMA).coalesce(1)
         df.write.mode("append").parquet(f"{self.folder}/events.parquet")
 
-    def run(self, operator):
+    def run(self, operator, allow_late=False):
         stream = table_stream(self.spark, str(self.folder), "events", files_per_batch=1)
         result = operator(stream.select("event_id", "user_id", as_instant("ts").alias("ts")))
-        return run_available(result, f"{self.folder}/table", f"{self.folder}/checkpoint")
+        folders = f"{self.folder}/table", f"{self.folder}/checkpoint"
+        return run_available(result, *folders, allow_late=allow_late)
 
 
 @pytest.fixture
@@ -54,7 +59,7 @@ def test_late_events_within_the_delay_count_and_later_ones_do_not(feed):
     assert rows(feed.run(hourly)) == [(at(0), 2)]
     feed.send((5, 1, at(55)))  # hour 0 is closed
     feed.send((6, 1, at(200)))
-    assert rows(feed.run(hourly)) == [(at(0), 2), (at(60), 2)]
+    assert rows(feed.run(hourly, allow_late=True)) == [(at(0), 2), (at(60), 2)]
 
 
 def test_sessions_join_across_batches(feed):
@@ -170,3 +175,87 @@ def test_stream_of_many_files_equals_batch(spark, tmp_path):
         .drop("e")
     )
     assert rows_of(got) == rows_of(expected)
+
+
+def distinct_ids(stream):
+    return stream_distinct(stream, "event_id", "ts", "10 minutes").withColumn(
+        "ts", as_wall("ts")
+    )
+
+
+def test_an_id_whose_first_copy_is_late_is_kept(feed):
+    feed.send((1, 1, at(300)))
+    feed.run(distinct_ids)
+    feed.send((5, 1, at(10)), (5, 1, at(310)))
+    got = feed.run(distinct_ids, allow_late=True)
+    assert sorted(row.event_id for row in got.collect()) == [1, 5]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_thinning_keeps_the_ids_that_spark_keeps(spark, feed, monkeypatch, seed):
+    monkeypatch.setattr(streaming_operators, "HELD_IDS", 7)
+    rng = random.Random(seed)
+    for start in (0, 40, 25, 90, 10):
+        batch = [
+            (rng.choice([None, *range(30)]), rng.randrange(3), at(start + rng.randrange(60)))
+            for _ in range(80)
+        ]
+        feed.send(*batch)
+    kept = feed.run(distinct_ids, allow_late=True)
+
+    def plain(stream):
+        kept = stream.withWatermark("ts", "10 minutes")
+        return kept.dropDuplicatesWithinWatermark(["event_id"]).withColumn("ts", as_wall("ts"))
+
+    stream = table_stream(spark, str(feed.folder), "events", files_per_batch=1)
+    stream = stream.select("event_id", "user_id", as_instant("ts").alias("ts"))
+    expected = run_available(
+        plain(stream), f"{feed.folder}/t2", f"{feed.folder}/c2", allow_late=True
+    )
+    ids = lambda df: {row.event_id for row in df.collect()}
+    assert ids(kept) == ids(expected)
+
+
+def write_files(spark, folder, name, count, backwards=False):
+    """The events of sf0.01 in files that follow each other in time, or do not."""
+    rows = table(spark, f"{TESTDATA}/sf0.01", "events").orderBy("ts").collect()
+    size = len(rows) // count + 1
+    starts = list(range(0, len(rows), size))
+    schema = table(spark, f"{TESTDATA}/sf0.01", "events").schema
+    for start in reversed(starts) if backwards else starts:
+        part = spark.createDataFrame(rows[start : start + size], schema)
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/{name}.parquet")
+    return len(rows)
+
+
+@pytest.mark.parametrize("name", ["stream_events_hourly", "stream_user_sessions", "stream_dedup"])
+def test_batches_in_time_order_equal_one_batch(spark, tmp_path, name, monkeypatch):
+    """And the state does not hold the whole backlog."""
+    held = []
+    count = streaming_run.rows_dropped
+    monkeypatch.setattr(
+        streaming_run,
+        "rows_dropped",
+        lambda progress: held.append(progress) or count(progress),
+    )
+    monkeypatch.setitem(
+        streaming_run._STATE,
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows",
+        "true",
+    )
+    total = write_files(spark, tmp_path, "events", 8)
+    query = getattr(streams, name)
+    expected = rows_of(query(spark, str(tmp_path), files_per_batch=None))
+    assert rows_of(query(spark, str(tmp_path), files_per_batch=1)) == expected
+    peak = max(
+        operator["numRowsTotal"] for batch in held[-1] for operator in batch["stateOperators"]
+    )
+    assert len(held[-1]) >= 8
+    assert peak < total / 3
+
+
+def test_files_out_of_order_fail_loudly(spark, tmp_path):
+    write_files(spark, tmp_path, "events", 4, backwards=True)
+    with pytest.raises(LateRows, match="too late"):
+        streams.stream_events_hourly(spark, str(tmp_path), files_per_batch=1)
+    streams.stream_events_hourly(spark, str(tmp_path), files_per_batch=None)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -36,9 +37,18 @@ def test_hundredths_agree_with_decimals_in_the_tables(spark):
         assert lines.filter(hundredths(column) != as_decimal).count() == 0
 
 
-def test_hundredths_round_halves_away_from_zero(spark):
-    df = spark.createDataFrame([(0.125,), (-0.125,), (0.0,), (None,)], "x double")
-    assert [row[0] for row in df.select(hundredths("x")).collect()] == [13, -13, 0, None]
+def test_hundredths_keep_nulls_and_signs(spark):
+    df = spark.createDataFrame([(0.12,), (-0.12,), (0.0,), (None,)], "x double")
+    assert [row[0] for row in df.select(hundredths("x")).collect()] == [12, -12, 0, None]
+
+
+@pytest.mark.parametrize(
+    "value", [float("nan"), float("inf"), float("-inf"), 1e18, 12.3456, 0.005, -0.125]
+)
+def test_hundredths_refuse_what_is_no_amount(spark, value):
+    df = spark.createDataFrame([(1.25,), (value,)], "x double")
+    with pytest.raises(Exception, match="not an amount with two decimals"):
+        df.select(hundredths("x")).collect()
 
 
 def test_totals_beyond_bigint_are_exact(spark):
