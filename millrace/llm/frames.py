@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.arrays import mix
 from millrace.sources.shared import new_run_dir
 
 
@@ -53,6 +56,61 @@ def add_columns(
     return df.mapInArrow(run, schema)
 
 
+FILTER_BITS = 1 << 25
+_SEGMENT = 1 << 15
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """One bit for each of ``FILTER_BITS`` hash values of a bigint column, 4 MB whatever
+    the number of keys: rows whose bit is not set need not be moved to a join with them.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            places = np.unique(_places(batch.column(column)))
+            for segment in np.unique(places // _SEGMENT):
+                bits = parts.setdefault(int(segment), np.zeros(_SEGMENT, dtype=bool))
+                bits[places[places // _SEGMENT == segment] % _SEGMENT] = True
+        yield _bit_batch({k: zlib.compress(np.packbits(v), 1) for k, v in parts.items()})
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                bits = np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
+                parts[row["segment"]] = parts.get(row["segment"], 0) | bits
+        yield _bit_batch({k: v.tobytes() for k, v in parts.items()})
+
+    fields = "segment int, bits binary"
+    rows = keys.select(column).mapInArrow(mark, fields).repartition(16, "segment")
+    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in rows.mapInArrow(unite, fields).collect():
+        start = row["segment"] * (_SEGMENT // 8)
+        bits[start : start + _SEGMENT // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return bits
+
+
+def may_match(bits: np.ndarray, values: pa.Array) -> np.ndarray:
+    """Which values may be among the keys; for all others it is certain."""
+    places = _places(values)
+    return (bits[places // 8] >> (7 - places % 8)) & 1 == 1
+
+
+def _places(values: pa.Array) -> np.ndarray:
+    numbers = values.to_numpy(zero_copy_only=False).view(np.uint64)
+    return (mix(numbers) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _bit_batch(parts: dict[int, bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "segment": pa.array(list(parts), pa.int32()),
+            "bits": pa.array(list(parts.values()), pa.binary()),
+        }
+    )
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality in which nulls are equal."""
     return a.eqNullSafe(b)

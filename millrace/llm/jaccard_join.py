@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrays import SPACED, Chunk, Hashes, chunks, lowered, mix, words
 from millrace.llm.components import components
-from millrace.llm.frames import same, stored
+from millrace.llm.frames import key_filter, same, stored
 from millrace.llm.repeats import packed, with_keys
 
 WORDS = 5
@@ -402,9 +402,6 @@ def _between_groups(
 ) -> DataFrame:
     """All pairs of classes in different groups that pass the filters: ``x, unit, ys``,
     where ``unit`` is a block of classes of one group that holds ``ys``."""
-    sizes = lists.groupBy("gram").agg(
-        F.ceil(F.count(F.lit(1)).cast("double") / BLOCK).cast("int").alias("blocks")
-    )
     group_sizes = groups.groupBy(F.col("root").alias("r")).agg(
         F.ceil(F.count(F.lit(1)).cast("double") / UNIT).cast("int").alias("group_blocks")
     )
@@ -415,17 +412,21 @@ def _between_groups(
         F.coalesce("root", "k").alias("root"),
         F.coalesce("group_blocks", F.lit(1)).alias("group_blocks"),
     )
-    members = lists.join(known, "k")
-    # A shingle whose classes are in one group already has nothing to add.
+    # A shingle whose classes are in one group already has nothing to add; the parts are
+    # sent only to the lists of the others.
+    rooted = lists.join(known.select("k", "root"), "k")
     unsettled = (
-        members.groupBy("gram")
-        .agg((F.min("root") != F.max("root")).alias("open"))
+        rooted.groupBy("gram")
+        .agg(
+            (F.min("root") != F.max("root")).alias("open"),
+            F.ceil(F.count(F.lit(1)).cast("double") / BLOCK).cast("int").alias("blocks"),
+        )
         .filter("open")
-        .join(sizes, "gram")
         .select("gram", "blocks")
     )
     placed = (
-        members.join(unsettled, "gram")
+        lists.join(stored(unsettled, "unsettled"), "gram")
+        .join(known, "k")
         .withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -448,7 +449,8 @@ def _between_groups(
         found: dict[tuple[int, int], set[int]] = {}
         size = 0
         for group in _groups(batches):
-            for x, y, unit in zip(*_cross(group, percent)):
+            compare = _pairs_of_two if isinstance(group, pa.RecordBatch) else _cross
+            for x, y, unit in zip(*compare(group, percent)):
                 partners = found.setdefault((x, unit), set())
                 size += y not in partners
                 partners.add(y)
@@ -464,8 +466,9 @@ def _between_groups(
     )
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each pair of blocks of a list, which come one after the other."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table | pa.RecordBatch]:
+    """The rows of each pair of blocks of a list, which come one after the other. Lists
+    of two, which are most, come many at a time as one batch, two rows for each."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -474,13 +477,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             [batch.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "i", "j")], 1
         )
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        edges = [0, *cuts.tolist(), batch.num_rows]
-        for start, end in zip(edges, edges[1:]):
-            piece = batch.slice(start, end - start)
-            if held and start == 0 and _key_of(held[-1]) != _key_of(piece):
-                yield pa.Table.from_batches(held)
-                held = []
-            elif held and start > 0:
+        edges = np.concatenate(([0], cuts, [batch.num_rows]))
+        sizes = np.diff(edges)
+        # The first and last may go on in other batches.
+        two = np.flatnonzero(sizes[1:-1] == 2) + 1
+        if len(two):
+            rows = (edges[two][:, None] + np.arange(2)).ravel()
+            yield batch.take(pa.array(rows))
+        for at in sorted({0, len(sizes) - 1, *np.flatnonzero(sizes != 2).tolist()}):
+            piece = batch.slice(int(edges[at]), int(sizes[at]))
+            if held and (at > 0 or _key_of(held[-1]) != _key_of(piece)):
                 yield pa.Table.from_batches(held)
                 held = []
             held.append(piece)
@@ -492,9 +498,40 @@ def _key_of(piece: pa.RecordBatch) -> tuple:
     return tuple(piece.column(c)[0].as_py() for c in ("gram", "i", "j"))
 
 
+def _pairs_of_two(rows: pa.RecordBatch, percent: int) -> tuple[list, list, list]:
+    """What ``_cross`` gives for many lists of two."""
+    column = lambda name: rows.column(name).to_numpy(zero_copy_only=False)
+    k, n, place, root = (column(c).reshape(-1, 2) for c in ("k", "n", "place", "root"))
+    n, place, blocks = n.astype(np.int64), place.astype(np.int64), column("group_blocks")
+    own = column("own").reshape(-1, 2)
+    i, j = column("i")[::2], column("j")[::2]
+    keep = (root[:, 0] != root[:, 1]) & ((i == j) | (own[:, 0] != own[:, 1]))
+    keep &= n.min(axis=1) * 100 >= n.max(axis=1) * percent
+    needed = -(-percent * n.sum(axis=1) // (100 + percent))
+    keep &= (n - place).min(axis=1) >= needed
+    parts = _matrix(rows.column("parts")).reshape(-1, 2, SLOTS)
+    keep &= _room(parts[:, 0], parts[:, 1]) >= needed
+    at = np.flatnonzero(keep)
+    # The second of a pair is in the group of more blocks, or of the larger number.
+    blocks = blocks.reshape(-1, 2)
+    larger = (blocks[at, 0] > blocks[at, 1]) | (
+        (blocks[at, 0] == blocks[at, 1]) & (root[at, 0] > root[at, 1])
+    )
+    x, y = np.where(larger, 1, 0), np.where(larger, 0, 1)
+    unit = _unit(root[at, y], k[at, y], blocks[at, y])
+    return k[at, x].tolist(), k[at, y].tolist(), unit.tolist()
+
+
+def _unit(root: np.ndarray, k: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """A block of a group. Two may share a number by chance, which does no more than
+    make them larger."""
+    block = mix(k.view(np.uint64)) % blocks.astype(np.uint64)
+    return (mix(root.view(np.uint64)) ^ block).view(np.int64)
+
+
 def _cross(group: pa.Table, percent: int) -> tuple[list, list, list]:
     """Pairs of a list's classes, in different groups, that pass the filters. The
-    second of each pair is in the group that has more of the list."""
+    second of each pair is in the larger group, by its blocks."""
     column = lambda name: group.column(name).to_numpy()
     k, n, place, root, own = (column(c) for c in ("k", "n", "place", "root", "own"))
     n, place = n.astype(np.int64), place.astype(np.int64)
@@ -502,9 +539,7 @@ def _cross(group: pa.Table, percent: int) -> tuple[list, list, list]:
         return [], [], []
     i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
     parts = _matrix(group.column("parts").combine_chunks())
-    _, of_root, members = np.unique(root, return_inverse=True, return_counts=True)
-    weight = members[of_root]
-    order = np.lexsort((k, root, weight))
+    order = np.lexsort((k, root, column("group_blocks")))
     xs, ys = [], []
     for at, x in enumerate(order):
         others = order[at + 1 :]
@@ -525,11 +560,8 @@ def _cross(group: pa.Table, percent: int) -> tuple[list, list, list]:
     if not xs:
         return [], [], []
     found = np.concatenate(ys)
-    # A unit is a block of a group. Two may share a number by chance, which does no
-    # more than make them larger.
-    blocks = column("group_blocks")[found].astype(np.uint64)
-    unit = mix(root[found].view(np.uint64)) ^ (mix(k[found].view(np.uint64)) % blocks)
-    return xs, k[found].tolist(), unit.view(np.int64).tolist()
+    unit = _unit(root[found], k[found], column("group_blocks")[found])
+    return xs, k[found].tolist(), unit.tolist()
 
 
 def _candidate_batch(found: dict[tuple[int, int], set[int]]) -> pa.RecordBatch:
@@ -545,62 +577,53 @@ def _candidate_batch(found: dict[tuple[int, int], set[int]]) -> pa.RecordBatch:
 def _verified(
     keyed: DataFrame, classes: DataFrame, candidates: DataFrame, size: int, percent: int
 ) -> DataFrame:
-    """``a, b``: the candidate pairs that are similar enough, each compared once. Of a
-    class's partners in a unit that are in, only the links that join are listed."""
+    """``a, b``: the candidate pairs that are similar enough, each compared once.
+
+    A class's text goes to the units it is needed in, as a member or to be compared with
+    members; sets are made where they meet, since texts are smaller than sets.
+    """
     candidates = stored(candidates, "candidates")
-    partners = candidates.select("unit", F.explode("ys").alias("k")).distinct()
-    needed = partners.select("k").unionByName(candidates.select(F.col("x").alias("k"))).distinct()
-    holders = classes.join(needed, "k", "left_semi").select("k", "doc", "h")
-    texts = packed(keyed.select("doc", "h", "text")).withColumnsRenamed({"doc": "d", "h": "t"})
-    on = same(F.col("d"), F.col("doc")) & (F.col("t") == F.col("h"))
-    # One row per class even where rows repeat a text.
-    sets = stored(
-        texts.join(holders, on)
-        .select("k", "text")
-        .mapInArrow(lambda batches: _sets(batches, size), "k bigint, grams binary")
-        .dropDuplicates(["k"]),
-        "sets",
-    )
-    units = (
-        partners.join(sets, "k")
-        .groupBy("unit")
-        .agg(F.collect_list(F.struct("k", "grams")).alias("members"))
+    nobody = F.array().cast("array<bigint>")
+    members = candidates.select("unit", F.explode("ys").alias("k")).distinct()
+    needs = members.select("k", "unit", F.lit(0).alias("role"), nobody.alias("ys")).unionByName(
+        candidates.select(F.col("x").alias("k"), "unit", F.lit(1).alias("role"), "ys")
     )
+    # Plain equality, so that texts are dealt out once for all that follows.
+    id_key = F.coalesce("doc", F.lit(-(2**63))).alias("d")
+    holders = classes.select("k", id_key, F.col("h").alias("t"))
+    needs = stored(holders.join(needs, "k"), "needs")
+    found = key_filter(needs, "t")
+    texts = packed(keyed.select("doc", "h", "text"), found)
+    texts = texts.select(id_key, F.col("h").alias("t"), "text").repartition("d", "t")
+    # Rows may repeat a text.
+    texts = texts.dropDuplicates(["d", "t"])
     return (
-        candidates.join(sets, F.col("x") == F.col("k"))
-        .select("x", "unit", "ys", "grams")
-        .join(units, "unit")
-        .mapInArrow(lambda batches: _verify(batches, percent), "a bigint, b bigint")
+        texts.join(needs, ["d", "t"])
+        .select("unit", "role", "k", "ys", "text")
+        .repartition("unit")
+        .sortWithinPartitions("unit", "role")
+        .mapInArrow(lambda batches: _verify(batches, size, percent), "a bigint, b bigint")
     )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [zlib.decompress(x.as_py()) for x in batch.column("text")]
-        for chunk in chunks(pa.array(texts, pa.binary())):
-            sets = [grams.tobytes() for _, grams in shingle_sets(chunk, size)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "k": batch.column("k").slice(chunk.first, len(sets)),
-                    "grams": pa.array(sets, pa.binary()),
-                }
-            )
-
-
-def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _verify(
+    batches: Iterator[pa.RecordBatch], size: int, percent: int
+) -> Iterator[pa.RecordBatch]:
+    unit, members = None, {}
     for batch in batches:
         linked: list[tuple[int, int]] = []
-        for row in range(batch.num_rows):
-            x = batch.column("x")[row].as_py()
-            grams = np.frombuffer(batch.column("grams")[row].as_py(), dtype=np.uint64)
-            wanted = set(batch.column("ys")[row].as_py())
-            for member in batch.column("members")[row]:
-                y = member["k"].as_py()
-                if y in wanted:
-                    other = np.frombuffer(member["grams"].as_py(), dtype=np.uint64)
-                    both = len(np.intersect1d(grams, other, assume_unique=True))
-                    if (100 + percent) * both >= percent * (len(grams) + len(other)):
-                        linked.append((x, y))
+        for row in batch.to_pylist():
+            if row["unit"] != unit:
+                unit, members = row["unit"], {}
+            text = zlib.decompress(row["text"])
+            _, grams = next(shingle_sets(next(chunks(pa.array([text], pa.binary()))), size))
+            if row["role"] == 0:
+                members[row["k"]] = grams
+                continue
+            for y in row["ys"]:
+                both = len(np.intersect1d(grams, members[y], assume_unique=True))
+                if (100 + percent) * both >= percent * (len(grams) + len(members[y])):
+                    linked.append((row["k"], y))
         yield pa.RecordBatch.from_pydict(
             {
                 "a": pa.array([a for a, _ in linked], pa.int64()),

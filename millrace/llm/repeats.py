@@ -32,9 +32,10 @@ from pyspark.sql import types as T
 
 from millrace.llm import anchors
 from millrace.llm.arrays import SPACED, Chunk, Hashes, Words, chunks, words
-from millrace.llm.frames import same, small_batches, stored
+from millrace.llm.frames import may_match, same, small_batches, stored
 
 GROUP_CONTEXTS = 20_000
+CONTENT = "g bigint, c bigint, v bigint, left int, right int, content binary"
 _WINDOWS = "g bigint, c bigint, v bigint, distance int, w bigint"
 
 
@@ -96,12 +97,16 @@ def with_keys(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def packed(keyed: DataFrame) -> DataFrame:
-    """``text`` as zlib data: texts are moved in half the bytes."""
+def packed(keyed: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """``text`` as zlib data: texts are moved in half the bytes. With ``bits``, a filter
+    over ``h``, texts that it rules out are left behind."""
+    shared = None if bits is None else keyed.sparkSession.sparkContext.broadcast(bits)
     fields = [f if f.name != "text" else T.StructField("text", T.BinaryType()) for f in keyed.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if shared is not None:
+                batch = batch.filter(pa.array(may_match(shared.value, batch.column("h"))))
             data = pa.array(
                 [zlib.compress((x.as_py() or "").encode(), 1) for x in batch.column("text")],
                 pa.binary(),
