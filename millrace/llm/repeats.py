@@ -134,7 +134,9 @@ def marks(keyed: DataFrame, unit: Unit, resolve: Resolver) -> DataFrame:
         (F.min("c") != F.max("c")).alias("many"),
     )
     repeated = F.col("first") < F.col("last") if unit.later_only else F.col("n") > 1
-    cores = cores.filter(repeated).select("g", "first", "many")
+    # Stored, so that both sides of the join are plain shuffles, which adaptive execution
+    # can split where a core is hot.
+    cores = stored(cores.filter(repeated).select("g", "first", "many"), "cores")
     candidates = stored(found.join(cores, "g"), "anchors")
 
     full = [F.lit(0).alias("low"), F.lit(unit.reach).alias("high")]
@@ -153,16 +155,13 @@ def marks(keyed: DataFrame, unit: Unit, resolve: Resolver) -> DataFrame:
         "contexts",
     )
     found_low_high = _resolved(keyed, contexts, unit, resolve)
-    verdicts = (
-        contexts.select("g", "c", "n", F.col("v").alias("first"))
-        .join(found_low_high, ["g", "c"], "left")
-        .drop("holder")
+    verdicts = stored(
+        contexts.select("g", "c", "n", F.col("v").alias("first")).join(
+            found_low_high, ["g", "c"], "left"
+        ),
+        "verdicts",
     )
-    if unit.later_only:
-        whole = F.col("v") > F.col("f")
-    else:
-        whole = F.col("n") > 1
-    verdicts = verdicts.withColumnRenamed("first", "f")
+    whole = F.col("v") > F.col("first") if unit.later_only else F.col("n") > 1
     unlike = (
         differing.select("doc", "h", "at", "g", "c", "v")
         .join(verdicts, ["g", "c"])
@@ -221,19 +220,41 @@ def _resolved(
     crowded = stored(
         sizes.filter(F.col("contexts") > GROUP_CONTEXTS).select("g"), "crowded"
     )
-    few = contexts.join(crowded, "g", "left_anti")
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = _contents(
-        keyed, few, unit, lambda batches: resolve.send(batches, parts), resolve.schema
-    )
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return resolve.send(batches, parts)
+
+    rest = None
+    if crowded.isEmpty():
+        sent = _contents(keyed, contexts, unit, send, resolve.schema)
+    else:
+        # Both ways share what the texts have lent, since moving the texts is dear.
+        contents = stored(_contents(keyed, contexts, unit, pack, CONTENT), "contents")
+        few = contents.join(crowded, "g", "left_anti")
+        sent = few.mapInArrow(lambda batches: send(_unpack(batches)), resolve.schema)
+        rest = contents.join(crowded, "g", "left_semi").mapInArrow(
+            lambda batches: _windows(_unpack(batches), unit), _WINDOWS
+        )
     found = resolve.deal(sent, parts).mapInArrow(
         lambda batches: resolve.match(batches, unit), "g bigint, c bigint, low int, high int"
     )
-    if crowded.isEmpty():
-        return found
-    rest = contexts.join(crowded, "g", "left_semi")
-    windows = _contents(keyed, rest, unit, lambda batches: _windows(batches, unit), _WINDOWS)
-    return found.unionByName(_by_window(windows, unit))
+    return found if rest is None else found.unionByName(_by_window(rest, unit))
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts overlap each other and are most of what is moved."""
+    for batch in batches:
+        data = [zlib.compress(x.as_py(), 1) for x in batch.column("content")]
+        at = batch.schema.get_field_index("content")
+        yield batch.set_column(at, batch.schema.field(at), pa.array(data, pa.binary()))
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data = [zlib.decompress(x.as_py()) for x in batch.column("content")]
+        at = batch.schema.get_field_index("content")
+        yield batch.set_column(at, batch.schema.field(at), pa.array(data, pa.binary()))
 
 
 def _contents(
@@ -243,8 +264,8 @@ def _contents(
     send: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
-    """What ``send`` makes of the contexts with their codes, each taken from the text
-    that holds it."""
+    """What ``send`` makes of the contexts with their codes (``CONTENT``), each taken from
+    the text that holds it."""
     wanted = (
         contexts.select("g", "c", "n", "v", "holder.*")
         .groupBy("doc", "h")

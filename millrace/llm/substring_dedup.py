@@ -31,7 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from millrace.llm.arrays import SPACED, Chunk, covered, spans_of, words
-from millrace.llm.repeats import Resolver, Unit, join_marks, marks, window_hashes, with_keys
+from millrace.llm.repeats import (
+    CONTENT,
+    Resolver,
+    Unit,
+    join_marks,
+    marks,
+    pack,
+    window_hashes,
+    with_keys,
+)
 
 WINDOW = 50
 GROUP_BYTES = 1_000_000
@@ -167,19 +176,12 @@ def _remove(
         )
 
 
-_SENT = "g bigint, c bigint, v bigint, left int, right int, content binary"
-
-
 def _deal(contexts: DataFrame, parts: int) -> DataFrame:
     return contexts.repartition(parts, "g").sortWithinPartitions("g", "v", "c")
 
 
-def _pack(batches: Iterator[pa.RecordBatch], _parts: int) -> Iterator[pa.RecordBatch]:
-    """Contexts overlap each other and are most of what is moved here."""
-    for batch in batches:
-        data = [zlib.compress(x.as_py(), 1) for x in batch.column("content")]
-        at = batch.schema.get_field_index("content")
-        yield batch.set_column(at, batch.schema.field(at), pa.array(data, pa.binary()))
+def _send(batches: Iterator[pa.RecordBatch], _parts: int) -> Iterator[pa.RecordBatch]:
+    return pack(batches)
 
 
 def _shards(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[pa.RecordBatch]:
@@ -258,4 +260,4 @@ def _match(held: list[dict], unit: Unit) -> Iterator[pa.RecordBatch]:
 
 
 # Which windows of each context occur in a context of an earlier document.
-_RESOLVE = Resolver(_SENT, _pack, _deal, _shards)
+_RESOLVE = Resolver(CONTENT, _send, _deal, _shards)
