@@ -37,7 +37,7 @@ from millrace.llm.arrays import (
     text_of_word,
     words,
 )
-from millrace.llm.frames import add_columns, stored
+from millrace.llm.frames import add_columns, small_batches, stored
 
 MAX_WINDOWS = 200_000
 _RESULT = (
@@ -102,7 +102,7 @@ def item_windows(items: DataFrame, id_column: str, text_column: str, n: int) ->
                         }
                     )
 
-    source = items.select(
+    source = small_batches(items).select(
         F.col(id_column).cast("string").alias("item"), F.col(text_column).alias("text")
     )
     return source.mapInArrow(run, "item string, gram binary, length int").distinct()

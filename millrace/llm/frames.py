@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def small_batches(df: DataFrame) -> DataFrame:
     """Lets Spark hand rows to Python in batches of a few megabytes, since texts may be
-    long and several tasks share an executor's memory."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    long and several tasks share an executor's memory.
+
+    In a local session it also tells Python workers where this package is, wherever the
+    session was started; on a cluster the package is sent along with the job.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    if spark.sparkContext.master.startswith("local"):
+        root = str(Path(__file__).resolve().parents[2])
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return df
 
 

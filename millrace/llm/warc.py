@@ -35,7 +35,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import stored
+from millrace.llm.frames import small_batches, stored
 from millrace.sources.shared import new_run_dir
 
 SHARD_BYTES = 64_000_000
@@ -90,7 +90,7 @@ def write_archive(
     file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Write ``pages`` under ``folder``, a URI all executors can write to; the manifest."""
-    rows = pages.select(
+    rows = small_batches(pages).select(
         F.col(id_column).cast("bigint").alias("id"),
         F.col(uri_column).cast("string").alias("uri"),
         F.coalesce(F.col(payload_column), F.lit("")).cast("binary").alias("payload"),
@@ -318,7 +318,8 @@ def read_archive(manifest: DataFrame, folder: str) -> DataFrame:
     what the manifest and the headers say. ``payload`` is null for revisits."""
     files = manifest.count()
     return (
-        manifest.select("file", "sha1")
+        small_batches(manifest)
+        .select("file", "sha1")
         .repartition(max(files, 1))
         .mapInArrow(lambda batches: _read_files(batches, folder), _RECORD)
     )
