@@ -235,7 +235,7 @@ def fit(
         .select("id", "label", "text")
         .mapInArrow(_feature_rows, "id string, label double, features binary")
     )
-    rows = taught.coalesce(1).mapInArrow(_fit_rows, "model binary").collect()
+    rows = taught.repartition(1).mapInArrow(_fit_rows, "model binary").collect()
     return pickle.loads(rows[0]["model"]) if rows else None
 
 
