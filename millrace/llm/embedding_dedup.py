@@ -257,7 +257,7 @@ def _fit(classes: DataFrame) -> dict[int, Quantiser]:
     some = classes.filter(F.pmod(F.xxhash64("k", F.lit(3)), F.lit(1_000_000)) < share)
     each = classes.groupBy(F.size("v")).agg(F.first("v").alias("v")).select("v")
     sample = some.select("v").unionByName(each)
-    rows = sample.coalesce(1).mapInArrow(learn, "model binary").collect()
+    rows = sample.repartition(1).mapInArrow(learn, "model binary").collect()
     return pickle.loads(rows[0]["model"])
 
 
