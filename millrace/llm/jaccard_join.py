@@ -329,7 +329,7 @@ def _long_enough(a: Column, b: Column, percent: int) -> Column:
 
 def _neighbours(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that follow each other, by length, in the list of a prefix shingle and pass
-    the filters: ``x, unit, ys`` with one partner."""
+    the filters: ``k, unit, role, ys`` (see ``_verified``), with one partner each."""
     blocks = F.ceil(F.count(F.lit(1)).cast("double") / BLOCK)
     sizes = lists.groupBy("gram").agg(blocks.cast("int").alias("blocks"))
     # A hot list is cut by length, and within a length by class.
@@ -384,7 +384,14 @@ def _neighbours(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     passed = both.select("x", "y", "n_x", "n_y", "p_x", "p_y").mapInArrow(
         bound, "x bigint, y bigint"
     )
-    return passed.groupBy("x", F.col("y").alias("unit")).agg(F.collect_set("y").alias("ys"))
+    to_compare = passed.select(
+        F.col("x").alias("k"), F.col("y").alias("unit"), F.lit(1).alias("role"), F.array("y").alias("ys")
+    )
+    nobody = F.array().cast("array<bigint>").alias("ys")
+    members = passed.select(
+        F.col("y").alias("k"), F.col("y").alias("unit"), F.lit(0).alias("role"), nobody
+    )
+    return to_compare.unionByName(members.distinct())
 
 
 def _matrix(parts: pa.Array) -> np.ndarray:
@@ -400,8 +407,8 @@ def _room(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _between_groups(
     lists: DataFrame, classes: DataFrame, groups: DataFrame, percent: int
 ) -> DataFrame:
-    """All pairs of classes in different groups that pass the filters: ``x, unit, ys``,
-    where ``unit`` is a block of classes of one group that holds ``ys``."""
+    """All pairs of classes in different groups that pass the filters: ``k, unit, role,
+    ys`` (see ``_verified``), where a unit is a block of classes of one group."""
     group_sizes = groups.groupBy(F.col("root").alias("r")).agg(
         F.ceil(F.count(F.lit(1)).cast("double") / UNIT).cast("int").alias("group_blocks")
     )
@@ -460,8 +467,8 @@ def _between_groups(
         yield _candidate_batch(found)
 
     return (
-        placed.mapInArrow(pairs, "x bigint, unit bigint, ys array<bigint>")
-        .groupBy("x", "unit")
+        placed.mapInArrow(pairs, "k bigint, unit bigint, role int, ys array<bigint>")
+        .groupBy("k", "unit", "role")
         .agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
     )
 
@@ -565,29 +572,30 @@ def _cross(group: pa.Table, percent: int) -> tuple[list, list, list]:
 
 
 def _candidate_batch(found: dict[tuple[int, int], set[int]]) -> pa.RecordBatch:
+    members: dict[int, set[int]] = {}
+    for (_, unit), ys in found.items():
+        members.setdefault(unit, set()).update(ys)
+    rows = [(x, unit, 1, sorted(ys)) for (x, unit), ys in found.items()]
+    rows += [(y, unit, 0, []) for unit, ys in members.items() for y in ys]
     return pa.RecordBatch.from_pydict(
         {
-            "x": pa.array([x for x, _ in found], pa.int64()),
-            "unit": pa.array([unit for _, unit in found], pa.int64()),
-            "ys": pa.array([sorted(ys) for ys in found.values()], pa.list_(pa.int64())),
+            "k": pa.array([row[0] for row in rows], pa.int64()),
+            "unit": pa.array([row[1] for row in rows], pa.int64()),
+            "role": pa.array([row[2] for row in rows], pa.int32()),
+            "ys": pa.array([row[3] for row in rows], pa.list_(pa.int64())),
         }
     )
 
 
 def _verified(
-    keyed: DataFrame, classes: DataFrame, candidates: DataFrame, size: int, percent: int
+    keyed: DataFrame, classes: DataFrame, needs: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """``a, b``: the candidate pairs that are similar enough, each compared once.
 
-    A class's text goes to the units it is needed in, as a member or to be compared with
-    members; sets are made where they meet, since texts are smaller than sets.
+    ``needs`` says in which units a class ``k`` is needed: as a member (``role`` 0), or to
+    be compared with the members ``ys`` (1). Its text goes there; sets are made where they
+    meet, since texts are smaller than sets.
     """
-    candidates = stored(candidates, "candidates")
-    nobody = F.array().cast("array<bigint>")
-    members = candidates.select("unit", F.explode("ys").alias("k")).distinct()
-    needs = members.select("k", "unit", F.lit(0).alias("role"), nobody.alias("ys")).unionByName(
-        candidates.select(F.col("x").alias("k"), "unit", F.lit(1).alias("role"), "ys")
-    )
     # Plain equality, so that texts are dealt out once for all that follows.
     id_key = F.coalesce("doc", F.lit(-(2**63))).alias("d")
     holders = classes.select("k", id_key, F.col("h").alias("t"))
