@@ -42,7 +42,7 @@ PERCENT = 80
 DF_SLOTS = 1 << 18
 DF_SEGMENT = 1 << 12
 SLOTS = 32
-PREFIX_ROWS = 1_000_000  # prefix shingles that a task sorts
+PREFIX_ROWS = 300_000  # prefix shingles that a task sorts
 BLOCK = 2048  # classes of a prefix shingle's list that are compared with as many
 UNIT = 32  # classes of a group whose sets are sent together to be compared
 
