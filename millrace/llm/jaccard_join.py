@@ -42,6 +42,7 @@ PERCENT = 80
 DF_SLOTS = 1 << 18
 DF_SEGMENT = 1 << 12
 SLOTS = 32
+FULL = 65_535  # the largest set whose parts are counted
 PREFIX_ROWS = 300_000  # prefix shingles that a task sorts
 BLOCK = 2048  # classes of a prefix shingle's list that are compared with as many
 UNIT = 32  # classes of a group whose sets are sent together to be compared
@@ -157,9 +158,10 @@ def _classes_of_texts(keyed: DataFrame, size: int) -> DataFrame:
 
 
 def _parts(grams: np.ndarray) -> bytes:
-    """How many shingles fall into each part; for very large sets no bound is given."""
-    if len(grams) > 65_535:
-        return np.full(SLOTS, 65_535, dtype=np.uint16).tobytes()
+    """How many shingles fall into each part; all are ``FULL`` for a set of more than
+    that, which no counted set can have, and ``_room`` then takes it as unbounded."""
+    if len(grams) > FULL:
+        return np.full(SLOTS, FULL, dtype=np.uint16).tobytes()
     counts = np.bincount((grams >> np.uint64(59)).astype(np.int64), minlength=SLOTS)
     return counts.astype(np.uint16).tobytes()
 
@@ -400,8 +402,10 @@ def _matrix(parts: pa.Array) -> np.ndarray:
 
 
 def _room(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The most shingles that sets with these parts can share."""
-    return np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    """The most shingles that sets with these parts can share; more than any set has
+    where neither is counted."""
+    room = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    return np.where(room == SLOTS * FULL, np.int64(1) << 32, room)
 
 
 def _between_groups(

@@ -12,7 +12,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import anchors, arrays, bpe, suffix_runs, warc
+from millrace.llm import anchors, arrays, bpe, jaccard_join, suffix_runs, warc
 from millrace.llm.language import Lattice
 from millrace.llm.quality import FACTORS, Features, Machine
 from millrace.llm.substring_dedup import SuffixAutomaton
@@ -187,3 +187,17 @@ def test_damaged_records_are_refused():
     content = warc.record(3, "u", b"payload", None)
     with pytest.raises(ValueError, match="damaged"):
         warc.parse_record(content.replace(b"payload", b"Payload"))
+
+
+@pytest.mark.parametrize("size", [1000, 65_535, 65_536, 2_500_000])
+def test_room_is_never_less_than_what_sets_share(size):
+    rng = np.random.default_rng(5)
+    grams = np.unique(rng.integers(0, 2**64, size + size // 50, dtype=np.uint64))
+    sets = grams[:size], grams[-size:]
+    a, b = (
+        np.frombuffer(jaccard_join._parts(x), dtype=np.uint16).reshape(1, -1) for x in sets
+    )
+    both = len(np.intersect1d(*sets, assume_unique=True))
+    assert 180 * both >= 80 * 2 * size
+    for x, y in ((a, b), (b, a), (a, a)):
+        assert jaccard_join._room(x, y)[0] >= both
