@@ -111,20 +111,24 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_column: str, text_column: str, **options) -> DataFrame:
-    """``docs`` with one row of each group of linked texts: that with the least id."""
-    found = near_duplicates(docs, id_column, text_column, **options).filter("keep")
+    """``docs`` with one row of each group of linked texts: that with the least id. Texts
+    without words are linked with nothing, so all their rows stay, where they are."""
+    found = near_duplicates(docs, id_column, text_column, **options)
+    found = found.filter("keep and n_shingles > 0")
+    # What ``SPACED`` calls a word: anything but ASCII white space.
+    has_words = F.coalesce(F.col(text_column).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # An id of no row stands for null, so that rows meet by plain equality and are
     # dealt out once for both the join and the removal of repeated rows.
     id_key = lambda column: F.coalesce(column.cast("bigint"), F.lit(-(2**63)))
     kept = found.select(id_key(F.col(id_column)).alias("d"), F.col("h").alias("t"))
     text_key = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
-    rows = docs.select(
+    rows = docs.filter(has_words).select(
         id_key(F.col(id_column)).alias("d"),
         text_key.alias("t"),
         F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
     )
     one = rows.join(kept, ["d", "t"], "left_semi").dropDuplicates(["d", "t"])
-    return one.select("row.*")
+    return one.select("row.*").unionByName(docs.filter(~has_words))
 
 
 def _classes_of_texts(keyed: DataFrame, size: int) -> DataFrame:

@@ -198,6 +198,15 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, block, unit, prefix
     assert kept.columns == odd_docs(spark, rows).columns
 
 
+def test_keep_one_keeps_all_texts_without_words(spark):
+    blank = [(None, None), (None, None), (None, ""), (None, " \n"), (None, " \n"), (6, "")]
+    blank += [(6, ""), (6, None), (7, "\t\v\f\r ")]
+    rows = [*blank, (8, "\u00a0"), (8, "\u00a0"), (None, "\u3000"), (None, "a b"), (None, "a b")]
+    kept = jaccard_join.keep_one(odd_docs(spark, rows), "doc_id", "text")
+    got = Counter((row.doc_id, row.text) for row in kept.collect())
+    assert got == Counter(blank) + Counter({(8, "\u00a0"), (None, "\u3000"), (None, "a b")})
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)]
     edges += [(7, 7), (300, 200), (200, 300), (None, 5), (500, 500)]
