@@ -7,7 +7,8 @@ break. The mask marks what is learnt from: the text and the end mark of the assi
 turns.
 
 A dialogue comes in *parts* of ``PART_TURNS`` turn numbers, so that a conversation of any
-length is never one row or one task's work; ``start`` says where in the whole rendering a
+length is never one row or one task's work while turn numbers are its own; all turns
+without a number, or with the same one, are one part and so one row. ``start`` says where in the whole rendering a
 part begins, and the parts of a view, laid end to end, are the whole. The running start is
 summed over parts, not over turns.
 
