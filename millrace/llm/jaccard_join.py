@@ -76,7 +76,7 @@ def near_duplicates(
     keyed = with_keys(docs, id_column, text_column)
     texts = stored(_classes_of_texts(keyed, size), "texts")
     classes = stored(_classes(texts), "classes")
-    lists = stored(_lists(keyed, classes, size, percent), "lists")
+    lists = stored(_lists(keyed, texts, size, percent), "lists")
 
     tried = _neighbours(lists, classes, percent)
     links = stored(_verified(keyed, classes, tried, size, percent), "links")
@@ -249,35 +249,18 @@ def prefix_length(n: int, percent: int) -> int:
 _PREFIX = np.dtype([("gram", "u8"), ("k", "i8"), ("n", "i4"), ("place", "i4")])
 
 
-def _lists(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+def _lists(keyed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """``gram, k, n, place``: classes by prefix shingle, of shingles that two or more
-    have. Prefixes travel as packed arrays, and single ones end where they arrive."""
+    have. Prefixes travel as packed arrays, one of each class from each task, and single
+    ones end where they arrive."""
     spark = keyed.sparkSession
     frequency = spark.sparkContext.broadcast(_frequencies(keyed, size))
-    total = classes.agg(F.sum(F.col("n") * F.lit((100 - percent) / 100) + 1)).first()[0] or 0
+    # Copies in different tasks each send their prefix, so parts are sized by texts.
+    total = texts.agg(F.sum(F.col("n") * F.lit((100 - percent) / 100) + 1)).first()[0] or 0
     parts = int(total // PREFIX_ROWS) + 1
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            for chunk in chunks(batch.column("text")):
-                for _, grams in shingle_sets(chunk, size):
-                    if not len(grams):
-                        continue
-                    n = len(grams)
-                    order = np.lexsort((grams, frequency.value[_slot(grams)]))
-                    first = grams[order[: prefix_length(n, percent)]]
-                    entries = np.empty(len(first), dtype=_PREFIX)
-                    entries["gram"], entries["n"] = first, n
-                    entries["k"] = grams.sum(dtype=np.uint64).view(np.int64)
-                    entries["place"] = np.arange(len(first))
-                    held.append(entries)
-                    rows += len(first)
-                if rows >= PREFIX_ROWS:
-                    yield _by_part(np.concatenate(held), parts)
-                    held, rows = [], 0
-        if held:
-            yield _by_part(np.concatenate(held), parts)
+        return _prefixes(batches, frequency.value, parts, size, percent)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [
@@ -313,6 +296,34 @@ def _lists(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     )
 
 
+def _prefixes(
+    batches: Iterator[pa.RecordBatch], frequency: np.ndarray, parts: int, size: int, percent: int
+) -> Iterator[pa.RecordBatch]:
+    """The prefixes of a task's classes, each once however many texts have it."""
+    held, rows, seen = [], 0, set()
+    for batch in batches:
+        for chunk in chunks(batch.column("text")):
+            for _, grams in shingle_sets(chunk, size):
+                if not len(grams):
+                    continue
+                n, k = len(grams), int(grams.sum(dtype=np.uint64).view(np.int64))
+                if k in seen:
+                    continue
+                seen.add(k)
+                order = np.lexsort((grams, frequency[_slot(grams)]))
+                first = grams[order[: prefix_length(n, percent)]]
+                entries = np.empty(len(first), dtype=_PREFIX)
+                entries["gram"], entries["k"], entries["n"] = first, k, n
+                entries["place"] = np.arange(len(first))
+                held.append(entries)
+                rows += len(first)
+            if rows >= PREFIX_ROWS:
+                yield _by_part(np.concatenate(held), parts)
+                held, rows = [], 0
+    if held:
+        yield _by_part(np.concatenate(held), parts)
+
+
 def _by_part(entries: np.ndarray, parts: int) -> pa.RecordBatch:
     part = (mix(entries["gram"]) % np.uint64(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")

@@ -201,3 +201,20 @@ def test_room_is_never_less_than_what_sets_share(size):
     assert 180 * both >= 80 * 2 * size
     for x, y in ((a, b), (b, a), (a, a)):
         assert jaccard_join._room(x, y)[0] >= both
+
+
+def test_copies_send_their_prefix_once(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PREFIX_ROWS", 50)
+    copy = " ".join(f"w{i}" for i in range(104))
+    texts = [copy, "", copy.upper(), None, "one two", *[copy] * 300, "three four"]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[at : at + 40]}) for at in range(0, 306, 40)]
+    frequency = np.zeros(jaccard_join.DF_SLOTS, dtype=np.int64)
+    sent = [
+        np.frombuffer(x.as_py(), dtype=jaccard_join._PREFIX)
+        for batch in jaccard_join._prefixes(iter(batches), frequency, 3, 5, 80)
+        for x in batch.column("entries")
+    ]
+    entries = np.concatenate(sent)
+    assert len(entries) == jaccard_join.prefix_length(100, 80) + 2
+    assert len(np.unique(entries[["gram", "k"]])) == len(entries)
+    assert sorted(np.unique(entries["n"])) == [1, 100]
