@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.llm import (
     bpe,
     chat,
+    collocations,
     decontaminate,
     embedding_dedup,
     jaccard_join,
@@ -18,6 +19,7 @@ from millrace.llm import (
     quality,
     substring_dedup,
     suffix_dedup,
+    token_files,
     warc,
 )
 from millrace.llm.frames import sha256_of
@@ -149,6 +151,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids written to files and read back from them."""
+    folder = token_files.token_folder(spark)
+    docs = _read(spark, sf_dir, "documents")
+    manifest = token_files.write_tokens(docs, "doc_id", "text", folder)
+    found = token_files.read_tokens(manifest, folder)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language whose words belong together."""
+    docs = _read(spark, sf_dir, "documents")
+    found = collocations.collocations(docs, "text", "lang")
+    return found.withColumnRenamed("grp", "lang")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -162,6 +180,8 @@ QUERIES: dict[str, Query] = {
         op8_jaccard_join,
         op9_bpe,
         op10_quality_classifier,
+        op11_token_files,
+        op12_collocations,
     )
 }
 ORACLE_SQL: dict[str, str] = SQL

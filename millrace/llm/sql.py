@@ -102,7 +102,56 @@ select conv_id, view, part, n_turns, cast(coalesce(sum(size) over (
 from p
 """
 
+_COLLOCATIONS = """
+with p as (
+  select coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\\x0A-\\x0D]')) as piece from documents
+), w as materialized (
+  select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p
+), f as materialized (
+  select lang, size, phrase, count(*) as a from (
+    select lang, 1 as size, unnest(w) as phrase from w
+    union all
+    select lang, 2, array_to_string(w[i : i + 1], ' ')
+    from (select lang, w, unnest(range(1, len(w))) as i from w)
+    union all
+    select lang, 3, array_to_string(w[i : i + 2], ' ')
+    from (select lang, w, unnest(range(1, len(w) - 1)) as i from w))
+  group by all
+), totals as (
+  select lang, sum(a) as n from f where size = 1 group by lang
+), c as materialized (
+  select lang, size, phrase, a, string_split(phrase, ' ') as w from f where size > 1 and a >= 10
+), cuts as materialized (
+  select *, lang || chr(0) || array_to_string(w[:k], ' ') as first,
+    lang || chr(0) || array_to_string(w[k + 1 :], ' ') as rest
+  from (select *, unnest(range(1, size)) as k from c)
+), sides as materialized (
+  select lang || chr(0) || phrase as key, a from f where a >= 10
+), split as (
+  select lang, phrase, cuts.a, k, x.a as l, y.a as r,
+    (cast(1000000 as hugeint) * cuts.a * cuts.a) // (cast(x.a as hugeint) * y.a) as score
+  from cuts join sides x on x.key = first join sides y on y.key = rest
+), scored as (
+  select * from split qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), longer as (
+  select lang, phrase, max(a) as a from (
+    select lang, a, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) as phrase
+    from c where size = 3) group by all
+), ranked as (
+  select scored.*, row_number() over (
+    partition by scored.lang order by score desc, scored.a desc, scored.phrase) as rank
+  from scored left join longer on longer.lang = scored.lang and longer.phrase = scored.phrase
+  where longer.a is null or 100 * longer.a < 50 * scored.a
+)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
 SQL = {
+    "op12_collocations": _COLLOCATIONS,
     "op2_warc": _WARC,
     "op3_substring_dedup": _SUBSTRINGS,
     "op5_chat_views": _CHAT,
