@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -109,13 +109,14 @@ def _cut(
     begins[1:] = (piece[1:] != piece[:-1]) | (text[1:] != text[:-1])
     # The piece's end, as a word number, for each word.
     firsts = np.flatnonzero(begins)
-    ends = np.append(firsts[1:], n)
+    ends = np.append(firsts[1:], n)[: len(firsts)]
     end = np.repeat(ends, ends - firsts)
     # A trigger is a whole window of words within the piece, not at its start.
     code = Hashes.of_bytes(chunk.data).runs(found.starts, found.ends)
     window = code.copy()
     for k in range(1, overlap):
-        window[: n - k] = mix(window[: n - k] * np.uint64(3) + code[k:])
+        size = max(n - k, 0)
+        window[:size] = mix(window[:size] * np.uint64(3) + code[k:])
     cut = np.zeros(n, dtype=bool)
     if overlap:
         whole = np.arange(n) + overlap <= end
@@ -361,6 +362,19 @@ def _grouped(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows.combine_chunks().to_batches(max_chunksize=50_000)
 
 
+def _first_words(n: str) -> Column:
+    """So many words of ``phrase``, from its end if negative, by bytes."""
+    return F.expr(f"substring_index(phrase, ' ', {n})")
+
+
+def score() -> Column:
+    """``floor(10^6 * a * a / (l * r))`` of the columns ``a, l, r``, exactly."""
+    return F.expr(
+        "(cast(a as decimal(16,0)) * cast(a as decimal(16,0)) * cast(1000000 as decimal(7,0)))"
+        " div (cast(l as decimal(16,0)) * cast(r as decimal(16,0)))"
+    )
+
+
 def collocations(
     docs: DataFrame,
     text_column: str,
@@ -384,44 +398,34 @@ def collocations(
     own = F.col("n_words") - F.when(F.col("last"), 0).otherwise(longest - 1)
     totals = dictionary.groupBy("grp").agg(F.sum(own * F.col("n")).alias("total"))
 
-    candidates = counts.filter(F.col("size") >= 2).select(
-        "grp", "phrase", "size", F.col("n").alias("a"), F.split("phrase", " ").alias("words")
-    )
-    part = lambda start, size: F.array_join(F.slice("words", start, size), " ")
+    candidates = counts.filter(F.col("size") >= 2).withColumnRenamed("n", "a")
     cuts = candidates.select(
-        "grp", "phrase", "a", "words", "size",
-        F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"),
+        "*", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k")
     ).select(
         "grp", "phrase", "a", "k",
-        part(F.lit(1), F.col("k")).alias("left"),
-        part(F.col("k") + 1, F.col("size") - F.col("k")).alias("right"),
+        _first_words("k").alias("left"),
+        _first_words("k - size").alias("right"),
     )
     of = lambda side, n: counts.select("grp", F.col("phrase").alias(side), F.col("n").alias(n))
-    score = F.expr(
-        "(cast(a as decimal(16,0)) * cast(a as decimal(16,0)) * cast(1000000 as decimal(7,0)))"
-        " div (cast(l as decimal(16,0)) * cast(r as decimal(16,0)))"
-    )
     scored = (
         cuts.join(of("left", "l"), ["grp", "left"])
         .join(of("right", "r"), ["grp", "right"])
-        .select("grp", "phrase", "a", F.struct(score.alias("score"), "k", "l", "r").alias("cut"))
+        .select("grp", "phrase", "a", F.struct(score().alias("score"), "k", "l", "r").alias("cut"))
         .groupBy("grp", "phrase", "a")
         .agg(F.min("cut").alias("cut"))
     )
     longer = (
         candidates.filter(F.col("size") > 2)
+        .select("*", F.explode(F.sequence(F.lit(2), F.col("size") - 1)).alias("within"))
         .select(
-            "grp", "a", "words", "size",
-            F.explode(F.sequence(F.lit(2), F.col("size") - 1)).alias("within"),
+            "*",
+            F.explode(F.sequence(F.col("within"), F.col("size"))).alias("end"),
         )
-        .select(
-            "grp", "a", "words", "within",
-            F.explode(F.sequence(F.lit(1), F.col("size") - F.col("within") + 1)).alias("start"),
-        )
-        .select("grp", "a", part(F.col("start"), F.col("within")).alias("phrase"))
+        .withColumn("phrase", _first_words("end"))
+        .select("grp", "a", _first_words("-within").alias("phrase"))
         .groupBy("grp", "phrase")
         .agg(F.max("a").alias("longer"))
-    )
+    )
     wide = lambda name, by: F.col(name).cast("decimal(20,0)") * by
     kept = scored.join(longer, ["grp", "phrase"], "left").filter(
         F.col("longer").isNull() | (wide("longer", 100) < wide("a", inside))

@@ -24,6 +24,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_stored(df: DataFrame) -> None:
+    """Delete the files of a table that ``stored`` has written and nothing reads any more."""
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folders = {file.rpartition("/")[0] for file in df.inputFiles()}
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Lets Spark hand rows to Python in batches of a few megabytes, since texts may be
     long and several tasks share an executor's memory.

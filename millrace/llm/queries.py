@@ -20,6 +20,7 @@ from millrace.llm import (
     substring_dedup,
     suffix_dedup,
     token_files,
+    vector_codes,
     warc,
 )
 from millrace.llm.frames import sha256_of
@@ -167,6 +168,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("grp", "lang")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as four codebook entries, with the errors."""
+    vectors = _read(spark, sf_dir, "embeddings")
+    coded, books = vector_codes.compress(vectors, "vec_id", "embedding", "label")
+    return vector_codes.hex_codes(coded, books)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -182,6 +190,7 @@ QUERIES: dict[str, Query] = {
         op10_quality_classifier,
         op11_token_files,
         op12_collocations,
+        op13_vector_codes,
     )
 }
 ORACLE_SQL: dict[str, str] = SQL
