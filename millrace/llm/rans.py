@@ -23,7 +23,6 @@ LANES = 32
 LEAST_BITS = 20
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
-_MASK = np.uint64(0xFFFFFFFF)
 
 
 class Damaged(ValueError):
@@ -41,7 +40,8 @@ class Table:
         if len(symbols) and total != 1 << self.bits:
             raise Damaged("the frequencies do not add up to a power of two")
         self.before = np.cumsum(self.frequencies, dtype=np.uint64) - self.frequencies
-        self.symbol_of = None
+        # By slot and by symbol, made when first needed.
+        self.symbol_of = self.place_of = None
 
     @classmethod
     def of_counts(cls, counts: dict[int, int]) -> "Table":
@@ -73,21 +73,25 @@ class Table:
 
     def encode(self, blocks: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each block its final states and its words."""
-        index, active = _in_lanes([np.searchsorted(self.symbols, block) for block in blocks])
+        if self.place_of is None:
+            self.place_of = np.zeros(int(self.symbols.max(initial=0)) + 1, np.int64)
+            self.place_of[self.symbols] = np.arange(len(self.symbols))
+        index, active = _in_lanes([self.place_of[block] for block in blocks])
         state = np.full(index.shape[1:], _LOW, dtype=np.uint64)
         words = np.zeros(index.shape, dtype=np.uint32)
         sent = np.zeros(index.shape, dtype=bool)
         bits, room = np.uint64(self.bits), np.uint64(63 - self.bits)
+        even = min(map(len, blocks), default=0) // LANES  # steps in which all lanes have one
         for step in range(len(index) - 1, -1, -1):
             here, now = index[step], active[step]
             f = self.frequencies[here]
             full = now & (state >= (f << room))
             sent[step] = full
-            words[step] = state & _MASK
+            words[step] = state
             left = np.where(full, state >> _WORD, state)
             whole = left // f
             new = (whole << bits) + (left - whole * f) + self.before[here]
-            state = new if now.all() else np.where(now, new, state)
+            state = new if step < even else np.where(now, new, state)
         return [(state[b].copy(), words[:, b][sent[:, b]]) for b in range(len(blocks))]
 
     def decode(

@@ -2,9 +2,9 @@
 
 Writing:
 
-* Texts are encoded where they are and the ids stored once. What white space parts is
-  encoded apart, since no token reaches over it, and remembered: a worker keeps the ids of
-  the words it met last, in at most about ``WORDS_KEPT`` entries.
+* Texts are encoded where they are and the ids stored once. Pieces that no token reaches
+  over are encoded apart and remembered: a worker keeps the ids of those it met last, in
+  at most about ``WORDS_KEPT`` entries of short words.
 * The ids' counts over all texts, one row per id of the vocabulary, make the frequency
   table that all files share (``rans.Table``), stored beside them.
 * Documents are range-partitioned and sorted by id. Each range is one file: blocks of
@@ -53,8 +53,8 @@ END_ID = 1
 SHARD_IDS = 64_000_000  # ids of one file, about
 LEAST_SHARD_IDS = 250_000  # smaller files are not worth a task
 BLOCK_IDS = 16_384
-TOGETHER = 32  # blocks that are coded side by side
-WORDS_KEPT = 200_000
+TOGETHER = 64  # blocks that are coded side by side
+WORDS_KEPT = 400_000
 LONGEST_KEPT = 32  # characters of a word that is remembered
 
 _MAGIC = b"MILLRANS"
@@ -63,39 +63,51 @@ _CHECKPOINT = np.dtype(
 )
 _TRAILER = struct.Struct("<QII")  # the checkpoints' place, number and checksum
 _MANIFEST = "file string, temporary string, shard int, n_docs bigint, n_ids bigint, blocks int, bytes bigint"
-_WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+_SPACE, _LETTER = " \t\n\r\x0b\x0c", "a-zß-öø-ÿ"
+_WORD = re.compile(f"[^{_SPACE}]+")
+_PIECE = re.compile(
+    f"[{_LETTER}]+|[^{_SPACE}{_LETTER}']++(?!')|[^{_SPACE}{_LETTER}]+[{_LETTER}]*"
+)
+_ODD = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
 
 
-class WordEncoder:
-    """Ids of texts by a tokenizer none of whose tokens reaches over white space."""
+class WordEncoder(dict):
+    """Ids by piece of text, for a tokenizer that lowers its text and whose tokens reach
+    neither over white space nor from a letter to what is none, nor, but for what follows
+    an apostrophe, from what is no letter to one. Pieces are encoded when first asked for;
+    those asked for last are remembered, in two generations.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, laid end to end as numbers of ``kind``."""
-        split = [_WORD.findall(text) for text in texts]
-        met = set().union(*split)
-        known = self.recent
-        for word in met & self.older.keys():
-            known[word] = self.older[word]
-        fresh = list(met - known.keys())
-        made = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        known.update(
-            (word, np.array(found.ids, self.kind).tobytes()) for word, found in zip(fresh, made)
-        )
-        done = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in fresh:
-            if len(word) > LONGEST_KEPT:
-                del known[word]
-        if len(known) > WORDS_KEPT // 2:
-            self.older, self.recent = known, {}
-        return done
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            if piece.isascii() and piece.isalpha() and piece.islower():
+                # Normalising and cutting would leave it as it is.
+                found = [token.id for token in self.model.tokenize(piece)]
+            else:
+                found = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            ids = np.array(found, self.kind).tobytes()
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """The text's ids, laid end to end as numbers of ``kind``."""
+        # Letters beyond Latin may join what follows them, so only words are told apart.
+        pieces = _WORD.findall(text) if _ODD.search(text) else _PIECE.findall(text.lower())
+        ids = b"".join(map(self.__getitem__, pieces))
+        if len(self) > WORDS_KEPT // 2:
+            self.older = dict(self)
+            self.clear()
+        return ids
 
 
 @lru_cache(maxsize=1)
@@ -119,8 +131,8 @@ def tokenized(
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                texts = [t.decode("utf-8", "replace") for t in part.column("text").to_pylist()]
-                ids = [found + end for found in encoder.encode(texts)]
+                texts = part.column("text").to_pylist()
+                ids = [encoder.encode(text.decode("utf-8", "replace")) + end for text in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(ids, pa.binary())], names=["id", "ids"]
                 )
@@ -452,12 +464,13 @@ def _read_docs(reader: _Reader, first: int, with_ids: bool) -> Iterator[dict]:
     missing, at = int(starts[-1] + sizes[-1]) - len(ids), first + TOGETHER
     rest = [pieces[-1]]
     while missing > 0:
-        more = [block for _, block, _ in reader.blocks(at, at + TOGETHER)]
+        wanted = min(TOGETHER, -(-missing // len(found[0][1])))
+        more = [block for _, block, _ in reader.blocks(at, at + wanted)]
         if not more:
             raise Damaged(f"{reader.path} ends within a document")
         piece = np.concatenate(more)[:missing].astype("<u4")
         crcs[-1] = zlib.crc32(piece, crcs[-1])
-        missing, at = missing - len(piece), at + TOGETHER
+        missing, at = missing - len(piece), at + wanted
         if with_ids:
             rest.append(piece)
     made = {

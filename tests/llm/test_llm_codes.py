@@ -82,11 +82,14 @@ TEXTS = [
 ]
 
 
+ENCODER = token_files.WordEncoder(PATH)
+WHOLE = Tokenizer.from_file(PATH)
+WHOLE.encode_special_tokens = True
+
+
 def expected_tokens(rows):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [
-        (doc, [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1])
+        (doc, [*WHOLE.encode(text or "", add_special_tokens=False).ids, 1])
         for doc, text in rows
     ]
 
@@ -159,14 +162,19 @@ def test_words_kept_are_bounded(monkeypatch):
     monkeypatch.setattr(token_files, "WORDS_KEPT", 100)
     encoder = token_files.WordEncoder(PATH)
     tokenizer = Tokenizer.from_file(PATH)
-    for start in range(0, 2000, 25):
-        texts = [f"word{i} common {'long' * i}" for i in range(start, start + 25)]
-        made = encoder.encode(texts)
-        for text, ids in zip(texts, made):
-            expected = tokenizer.encode(text, add_special_tokens=False).ids
-            assert np.frombuffer(ids, encoder.kind).tolist() == expected
-        assert len(encoder.recent) <= 100 and len(encoder.older) <= 150
-        assert max(map(len, [*encoder.recent, *encoder.older])) <= token_files.LONGEST_KEPT
+    for i in range(500):
+        text = f"word{i} common {'long' * i}"
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == expected
+        assert len(encoder) <= 60 and len(encoder.older) <= 60
+        assert max(map(len, ["", *encoder, *encoder.older])) <= token_files.LONGEST_KEPT
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("ab sStT'RrvVmMlLdD.,(12\n\té\u0301ÀßÿİΣǅ日×÷…\x1c\x85\xa0ªº"), st.characters(codec="utf-8")), max_size=40))
+def test_pieces_are_encoded_as_the_whole(text):
+    ids = np.frombuffer(ENCODER.encode(text), ENCODER.kind).tolist()
+    assert ids == expected_tokens([(1, text)])[0][1][:-1]
 
 
 def test_op11_equals_the_tokenizer(spark):
