@@ -163,6 +163,15 @@ def lowered(chunk: Chunk) -> Chunk:
     return Chunk(chunk.first, LOWER[chunk.data], chunk.starts, chunk.ends)
 
 
+def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte runs ``starts[i] .. ends[i]`` as a binary array."""
+    sizes = ends - starts
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[places])]
+    return pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+
+
 def spans_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true values."""
     edges = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))

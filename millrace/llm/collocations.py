@@ -42,6 +42,7 @@ from millrace.llm.arrays import (
     Hashes,
     byte_table,
     chunks,
+    gathered,
     lowered,
     mix,
     text_of_word,
@@ -134,16 +135,7 @@ def _cut(
     inside = np.ones(at[-1], dtype=bool)
     inside[at[1:] - 1] = False
     joined[inside] = chunk.data[source[inside]]
-    return _gather(joined, at[start], at[stop] - 1), last, stop - start, text[start]
-
-
-def _gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The byte runs ``starts[i] .. ends[i]`` as a binary array."""
-    sizes = ends - starts
-    offsets = np.concatenate(([0], np.cumsum(sizes)))
-    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
-    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[places])]
-    return pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+    return gathered(joined, at[start], at[stop] - 1), last, stop - start, text[start]
 
 
 class _Grams:
@@ -178,7 +170,7 @@ class _Grams:
         return first, mix(hashed ^ (self.seed[first] + np.uint64(size)))
 
     def texts(self, first: np.ndarray, size: int) -> pa.Array:
-        return _gather(self.data, self.words.starts[first], self.words.ends[first + size - 1])
+        return gathered(self.data, self.words.starts[first], self.words.ends[first + size - 1])
 
 
 def _frequent(dictionary: DataFrame, longest: int, least: int) -> tuple[np.ndarray, int]:

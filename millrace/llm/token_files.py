@@ -32,6 +32,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -44,6 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm.arrays import LOWER, SPACED, Chunk, Words, chunks, gathered, words
 from millrace.llm.frames import small_batches, stored
 from millrace.llm.rans import LANES, Damaged, Table
 from millrace.sources.shared import new_run_dir
@@ -55,7 +57,8 @@ LEAST_SHARD_IDS = 250_000  # smaller files are not worth a task
 BLOCK_IDS = 16_384
 TOGETHER = 64  # blocks that are coded side by side
 WORDS_KEPT = 400_000
-LONGEST_KEPT = 32  # characters of a word that is remembered
+LONGEST_KEPT = 32  # bytes of a piece that is remembered
+CHUNK = 2_000_000  # bytes of text whose pieces are looked up at a time
 
 _MAGIC = b"MILLRANS"
 _CHECKPOINT = np.dtype(
@@ -63,18 +66,16 @@ _CHECKPOINT = np.dtype(
 )
 _TRAILER = struct.Struct("<QII")  # the checkpoints' place, number and checksum
 _MANIFEST = "file string, temporary string, shard int, n_docs bigint, n_ids bigint, blocks int, bytes bigint"
-_SPACE, _LETTER = " \t\n\r\x0b\x0c", "a-zß-öø-ÿ"
-_WORD = re.compile(f"[^{_SPACE}]+")
-_PIECE = re.compile(
-    f"[{_LETTER}]+|[^{_SPACE}{_LETTER}']++(?!')|[^{_SPACE}{_LETTER}]+[{_LETTER}]*"
-)
-_ODD = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+_IS_LETTER = np.zeros(256, dtype=bool)
+_IS_LETTER[ord("a") : ord("z") + 1] = True
+_IS_SIGN = SPACED & ~_IS_LETTER
+_IS_SIGN[0x80:] = False
 
 
 class WordEncoder(dict):
-    """Ids by piece of text, for a tokenizer that lowers its text and whose tokens reach
-    neither over white space nor from a letter to what is none, nor, but for what follows
-    an apostrophe, from what is no letter to one. Pieces are encoded when first asked for;
+    """Ids by piece of text, for a tokenizer whose tokens reach neither over white space
+    nor over the places that ``_cuts`` finds. Pieces are encoded when first asked for;
     those asked for last are remembered, in two generations.
     """
 
@@ -83,31 +84,76 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.older: dict[str, bytes] = {}
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelt = {ord(c): cut(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c != "÷"}
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.older: dict[bytes, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: bytes) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            if piece.isascii() and piece.isalpha() and piece.islower():
-                # Normalising and cutting would leave it as it is.
-                found = [token.id for token in self.model.tokenize(piece)]
+            text = piece.decode()
+            if _PLAIN.fullmatch(text):
+                # One run of letters, which normalising leaves as it is.
+                found = [token.id for token in self.model.tokenize(text.translate(self.spelt))]
             else:
-                found = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            ids = np.array(found, self.kind).tobytes()
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = array("H" if self.kind.itemsize == 2 else "I", found).tobytes()
         if len(piece) <= LONGEST_KEPT:
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """The text's ids, laid end to end as numbers of ``kind``."""
-        # Letters beyond Latin may join what follows them, so only words are told apart.
-        pieces = _WORD.findall(text) if _ODD.search(text) else _PIECE.findall(text.lower())
-        ids = b"".join(map(self.__getitem__, pieces))
+    def encode(self, chunk: Chunk) -> list[np.ndarray]:
+        """The ids of each text of a chunk in UTF-8, as numbers of ``kind``."""
+        data = LOWER[chunk.data]
+        found = _pieces(data, chunk)
+        sizes = found.ends - found.starts
+        coded = gathered(data, found.starts, found.ends).dictionary_encode()
+        made = [self[piece] for piece in coded.dictionary.to_pylist()]
         if len(self) > WORDS_KEPT // 2:
             self.older = dict(self)
             self.clear()
-        return ids
+        ids = np.frombuffer(b"".join(made), self.kind)
+        lengths = np.fromiter(map(len, made), np.int64, len(made)) // self.kind.itemsize
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        sizes, starts = lengths[code], (np.cumsum(lengths) - lengths)[code]
+        ends = np.cumsum(sizes)
+        ids = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
+        bounds = np.append(0, ends)
+        return [ids[i:j] for i, j in zip(bounds[found.first], bounds[found.last])]
+
+
+def _pieces(data: np.ndarray, chunk: Chunk) -> Words:
+    """Words between white space, cut further by ``_cuts``."""
+    found = words(Chunk(chunk.first, data, chunk.starts, chunk.ends), SPACED)
+    inside = np.zeros(len(data) + 1, dtype=bool)
+    inside[found.starts] = True
+    inside[1:-1] |= _cuts(data)
+    starts = np.flatnonzero(inside)
+    ends = np.zeros(len(data) + 1, dtype=bool)
+    ends[found.ends] = True
+    ends[1:-1] |= _cuts(data)
+    ends = np.flatnonzero(ends)
+    return Words(
+        starts,
+        ends,
+        np.searchsorted(starts, chunk.starts, "left"),
+        np.searchsorted(starts, chunk.ends, "left"),
+    )
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Whether a token must end between each byte and the next, both inside a word: after
+    a Latin letter before an ASCII sign or digit, and after such a sign or digit, save an
+    apostrophe, before a Latin letter. Letters beyond Latin-1 are left alone."""
+    ascii_ = _IS_LETTER[data]
+    sign = _IS_SIGN[data]
+    accented = np.zeros(len(data) + 1, dtype=bool)  # a letter of two bytes starts here
+    accented[:-2] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    ended = ascii_[:-1].copy()
+    ended[1:] |= accented[:-3] if len(data) > 1 else False
+    begun = ascii_[1:] | accented[1:-1]
+    return (ended & sign[1:]) | (sign[:-1] & (data[:-1] != ord("'")) & begun)
 
 
 @lru_cache(maxsize=1)
@@ -122,20 +168,19 @@ def tokenized(
     """``id, ids``: the ids of each text and the end id, as little-endian numbers."""
     rows = small_batches(docs).select(
         F.col(id_column).cast("bigint").alias("id"),
-        F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary").alias("text"),
+        F.make_valid_utf8(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
+        .cast("binary")
+        .alias("text"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                texts = part.column("text").to_pylist()
-                ids = [encoder.encode(text.decode("utf-8", "replace")) + end for text in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(ids, pa.binary())], names=["id", "ids"]
-                )
+            for chunk in chunks(batch.column("text"), CHUNK):
+                ids = [found.tobytes() + end for found in encoder.encode(chunk)]
+                docs = batch.column("id").slice(chunk.first, len(ids))
+                yield pa.RecordBatch.from_arrays([docs, pa.array(ids, pa.binary())], ["id", "ids"])
 
     return rows.mapInArrow(run, "id bigint, ids binary")
 
