@@ -56,12 +56,13 @@ def add_columns(
 ) -> DataFrame:
     """``df`` with the columns of ``fields``, made batch by batch where the rows are.
 
-    Columns of ``df`` that have the name of a new one are replaced, but ``make`` sees
-    them.
+    Columns of ``df`` that have the name of a new one, in capitals or not, are replaced,
+    but ``make`` sees them.
     """
     small_batches(df)
     new = T.StructType.fromDDL(fields)
-    kept = [f for f in df.schema.fields if f.name not in new.fieldNames()]
+    replaced = {name.lower() for name in new.fieldNames()}
+    kept = [f for f in df.schema.fields if f.name.lower() not in replaced]
     schema = T.StructType([*kept, *new.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +131,30 @@ def _bit_batch(parts: dict[int, bytes]) -> pa.RecordBatch:
     )
 
 
+def texts_of(column: pa.Array) -> list[str | None]:
+    """A string column's values; bytes that are no UTF-8 are read as U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        raw = column.cast(pa.binary()).to_pylist()
+        return [None if text is None else text.decode("utf-8", "replace") for text in raw]
+
+
+_MILLION, _PLACES = 10**6, 10**18
+
+
+def place_of(id_: Column, seed: int) -> Column:
+    """Where a row stands in an order by hash: a number below 10^18."""
+    high = F.pmod(F.xxhash64(id_, F.lit(seed)), F.lit(_MILLION))
+    low = F.pmod(F.xxhash64(id_, F.lit(seed), F.lit(1)), F.lit(_PLACES // _MILLION))
+    return high * F.lit(_PLACES // _MILLION) + low
+
+
+def share_of(sample: int, n: int) -> int:
+    """Below which place about ``sample`` of ``n`` rows stand, however many ``n`` are."""
+    return min(sample * _PLACES // max(n, 1), _PLACES)
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality in which nulls are equal."""
     return a.eqNullSafe(b)

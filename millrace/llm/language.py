@@ -17,12 +17,14 @@ Defined results: a null text, or one without a letter, is ``und`` with score 0;
 without a language teach nothing; without any language everything is ``und``. The score
 is the probability of the predicted language given the text, all languages being
 equally likely beforehand; of equal ones the first in the alphabet is taken. Columns of
-the texts are kept, save ``lang_pred`` and ``score``.
+the texts are kept, save ``lang_pred`` and ``score``. Bytes that are no UTF-8 are read as
+U+FFFD.
 """
 
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,13 +35,13 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import add_columns, small_batches
+from millrace.llm.frames import add_columns, place_of, share_of, small_batches, texts_of
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE = 400
 WORD = 40
 ROUNDS = 3
-MAX_CACHED = 400_000  # words whose probabilities a worker remembers
+CACHE_BYTES = 60_000_000  # about, for the words whose probabilities a worker remembers
 UNKNOWN = "und"
 _START = "▁"  # how the vocabulary marks a word's first piece
 
@@ -57,25 +59,43 @@ def pieces(path: str) -> list[str]:
     return sorted(piece for piece in known if _START not in piece[1:])
 
 
+def _tails(vocabulary: list[str]) -> dict[str, int]:
+    """The number of each piece, and -1 for what is only the end of one."""
+    tails = {piece[i:]: -1 for piece in vocabulary for i in range(len(piece))}
+    tails.update((piece, i) for i, piece in enumerate(vocabulary))
+    return tails
+
+
 class Lattice:
     """All segmentations of some words: for each length of piece, the piece that ends
-    at each place (-1: none)."""
+    at each place (-1: none).
+
+    ``tails`` has the ends of all pieces (``_tails``), so that no longer pieces are looked
+    for where none ends any more.
+    """
 
-    def __init__(self, words: list[str], index: dict[str, int], longest: int):
+    def __init__(self, words: list[str], tails: dict[str, int], n_pieces: int, longest: int):
         texts = [_START + word for word in words]
         self.size = np.array([len(text) for text in texts])
         width = int(self.size.max())
         self.longest = min(longest, width)
         self.piece = np.full((self.longest + 1, width + 1, len(texts)), -1, dtype=np.int32)
-        find = index.get
+        inside = np.arange(1, width + 1)[:, None] <= self.size
+        self.piece[1, 1:][inside] = n_pieces
+        find = tails.get
+        lengths, ends, places, found = [], [], [], []
         for i, text in enumerate(texts):
             for end in range(1, len(text) + 1):
-                for length in range(1, min(end, self.longest) + 1):
-                    found = find(text[end - length : end])
-                    if found is not None:
-                        self.piece[length, end, i] = found
-                    elif length == 1:
-                        self.piece[1, end, i] = len(index)
+                for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
+                    piece = find(text[start:end])
+                    if piece is None:
+                        break
+                    if piece >= 0:
+                        lengths.append(end - start)
+                        ends.append(end)
+                        places.append(i)
+                        found.append(piece)
+        self.piece[lengths, ends, places] = found
 
     def forward(self, probability: np.ndarray) -> np.ndarray:
         """``forward[end, word, ...]``: the sum over the segmentations of a prefix."""
@@ -116,8 +136,9 @@ class Model:
 
     def __init__(self, languages: list[str], vocabulary: list[str], table: np.ndarray):
         self.languages, self.vocabulary, self.table = languages, vocabulary, table
-        self.index = {piece: i for i, piece in enumerate(vocabulary)}
+        self.tails = _tails(vocabulary)
         self.longest = max(map(len, vocabulary))
+        self.most = CACHE_BYTES // (150 + 8 * len(languages))
         self.cached: dict[str, int] = {}
         self.logs = np.zeros((0, len(languages)))
 
@@ -129,7 +150,7 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Log probabilities, one row per text and one column per language."""
-        if len(self.cached) > MAX_CACHED:
+        if len(self.cached) > self.most:
             self.cached, self.logs = {}, np.zeros((0, len(self.languages)))
         split = [_words(text) for text in texts]
         fresh = list(dict.fromkeys(w for ws in split for w in ws if w not in self.cached))
@@ -137,7 +158,7 @@ class Model:
         new = [self.logs]
         for start in range(0, len(fresh), 2000):
             part = fresh[start : start + 2000]
-            lattice = Lattice(part, self.index, self.longest)
+            lattice = Lattice(part, self.tails, len(self.vocabulary), self.longest)
             total = lattice.total(lattice.forward(self.table))
             new.append(np.log(np.maximum(total, 1e-300)))
         for word in fresh:
@@ -179,11 +200,10 @@ def fit(
     sizes = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
-    share = F.lit(0)
+    share = F.lit(0).cast("bigint")
     for lang, n in sizes.items():
-        taken = int(min(sample / n, 1.0) * 1_000_000)
-        share = F.when(F.col("lang") == lang, F.lit(taken)).otherwise(share)
-    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(1_000_000)) < share)
+        share = F.when(F.col("lang") == lang, F.lit(share_of(sample, n))).otherwise(share)
+    chosen = rows.filter(place_of(F.col("id"), 23) < share)
     path = public_tokenizers.path(VOCABULARY)
     fitted = (
         chosen.select("lang", "text")
@@ -204,8 +224,8 @@ def fit(
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter = Counter()
-        for row in batch.to_pylist():
-            counts.update((row["lang"], word) for word in _words(row["text"]))
+        for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text"))):
+            counts.update((lang, word) for word in _words(text))
         yield pa.RecordBatch.from_pydict(
             {
                 "lang": pa.array([lang for lang, _ in counts], pa.string()),
@@ -221,13 +241,13 @@ def _fit_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
         for row in batch.to_pylist():
             by_lang.setdefault(row["lang"], []).append((row["word"], row["n"]))
     vocabulary = pieces(path)
-    index = {piece: i for i, piece in enumerate(vocabulary)}
+    tails = _tails(vocabulary)
     longest = max(map(len, vocabulary))
     for lang, counted in sorted(by_lang.items()):
         counted.sort(key=lambda x: (len(x[0]), x[0]))
         lattices = [
             (
-                Lattice([w for w, _ in part], index, longest),
+                Lattice([w for w, _ in part], tails, len(vocabulary), longest),
                 np.array([n for _, n in part], dtype=float),
             )
             for part in (counted[i : i + 2000] for i in range(0, len(counted), 2000))
@@ -242,20 +262,24 @@ def _fit_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
         )
 
 
+# The model that a Python worker used last, with the words it has met.
+_known: dict[str, Model | None] = {}
+
+
 def identify(docs: DataFrame, text_column: str, model: Model | None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    # Unpickled once per task; it remembers the words it has met.
-    known: dict[str, Model | None] = {}
+    number = uuid.uuid4().hex
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        if "model" not in known:
-            known["model"] = pickle.loads(shared.value)
-        texts = batch.column(text_column).to_pylist()
+        if number not in _known:
+            _known.clear()
+            _known[number] = pickle.loads(shared.value)
+        texts = texts_of(batch.column(text_column))
         langs, scores = [], []
         for start in range(0, len(texts), 200):
             part = texts[start : start + 200]
-            for lang, score in _identify(part, known["model"]):
+            for lang, score in _identify(part, _known[number]):
                 langs.append(lang)
                 scores.append(score)
         return {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())}

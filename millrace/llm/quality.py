@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import SPACED, Chunk, Hashes, chunks, lowered, mix, words
-from millrace.llm.frames import add_columns, small_batches
+from millrace.llm.frames import add_columns, place_of, share_of, small_batches
 
 SLOTS = 1 << 15
 FACTORS = 8
@@ -227,8 +227,7 @@ def fit(
     if not found:
         return None
     # About ``sample`` labels, however many there are: few enough to broadcast.
-    share = int(min(sample / found, 1.0) * 1_000_000)
-    chosen = usable.filter(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1_000_000)) < share)
+    chosen = usable.filter(place_of(F.col("id"), 17) < share_of(sample, found))
     texts = small_batches(docs).select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text")
     )

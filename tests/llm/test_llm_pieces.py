@@ -11,9 +11,11 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from millrace.llm import anchors, arrays, bpe, jaccard_join, suffix_runs, warc
-from millrace.llm.language import Lattice
+from millrace.llm import anchors, arrays, bpe, jaccard_join, language, suffix_runs, warc
+from millrace.llm.frames import place_of, share_of
+from millrace.llm.language import Lattice, _tails
 from millrace.llm.quality import FACTORS, Features, Machine
 from millrace.llm.substring_dedup import SuffixAutomaton
 
@@ -143,7 +145,7 @@ def test_forward_sums_all_segmentations():
         return sum(p * total(text[len(piece) :]) for piece, p in parts)
 
     words = ["ab", "abab", "b", "axb"]
-    lattice = Lattice(words, index, 2)
+    lattice = Lattice(words, _tails(pieces), len(pieces), 2)
     found = lattice.total(lattice.forward(probability))
     assert np.allclose(found, [total("▁" + word) for word in words])
     # Expected counts add up to the expected number of pieces, found by derivatives.
@@ -218,3 +220,81 @@ def test_copies_send_their_prefix_once(monkeypatch):
     assert len(entries) == jaccard_join.prefix_length(100, 80) + 2
     assert len(np.unique(entries[["gram", "k"]])) == len(entries)
     assert sorted(np.unique(entries["n"])) == [1, 100]
+
+
+def test_shares_of_very_many_rows():
+    """However many rows there are, some are taken, about as many as asked for."""
+    for n in (10, 399, 10**6, 5 * 10**8, 10**13):
+        taken = n * share_of(400, n) / 10**18
+        assert abs(taken - min(n, 400)) <= 0.01 * min(n, 400)
+    assert share_of(400, 0) == 10**18
+
+
+def test_places_are_even(spark):
+    places = spark.range(20_000).select((place_of(F.col("id"), 23) / 10**18).alias("p"))
+    found = [row["p"] for row in places.collect()]
+    assert min(found) >= 0 and max(found) < 1 and len(set(found)) == 20_000
+    assert abs(sum(x < 0.25 for x in found) - 5000) < 300
+
+
+def test_a_language_among_very_many_rows_is_learnt(spark, monkeypatch):
+    """The sizes that ``fit`` sees are a hundred million times those of the table."""
+    rows = [(i, "de", f"der hund und die katze {i}") for i in range(300)]
+    rows += [(i, "en", f"the dog and the cat {i}") for i in range(300, 600)]
+    docs = spark.createDataFrame(rows, "id bigint, lang string, text string")
+    true = language.share_of
+    monkeypatch.setattr(language, "share_of", lambda sample, n: true(sample * 10**8, n * 10**8))
+    model = language.fit(docs, "id", "text", "lang", sample=100)
+    assert model.languages == ["de", "en"]
+    found = language.identify(docs, "text", model).filter("lang = lang_pred").count()
+    assert found == 600
+
+
+def test_language_scores_equal_enumeration(spark):
+    """Every segmentation of every word written out, for a fitted model."""
+    rows = [(i, "de", "der hund und katze") for i in range(6)]
+    rows += [(i, "es", "el perro y gato") for i in range(6, 12)]
+    docs = spark.createDataFrame(rows, "id bigint, lang string, text string")
+    model = language.fit(docs, "id", "text", "lang")
+    known = {piece: model.table[i] for i, piece in enumerate(model.vocabulary)}
+    unknown = model.table[len(model.vocabulary)]
+
+    def cuts(text):
+        if not text:
+            yield np.ones(len(model.languages))
+        for end in range(1, len(text) + 1):
+            piece = known.get(text[:end], unknown if end == 1 else None)
+            if piece is not None:
+                for rest in cuts(text[end:]):
+                    yield piece * rest
+
+    texts = ["der perro", "gato", "Hund", "xyz ñ", "y", None, "12 .", "und el"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    found = {r["id"]: r for r in language.identify(asked, "text", model).collect()}
+    for i, text in enumerate(texts):
+        row = found[i]
+        if not text or not any(map(str.isalpha, text)):
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        logs = sum(np.log(sum(cuts("▁" + word))) for word in text.lower().split())
+        share = np.exp(logs - logs.max())
+        assert row["lang_pred"] == model.languages[int(logs.argmax())]
+        assert abs(row["score"] - share.max() / share.sum()) < 1e-9
+
+
+def test_bpe_remembers_little_and_leaves_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_PIECES", 60)
+    monkeypatch.setattr(bpe, "MAX_PARTS", 20)
+    monkeypatch.setattr(bpe, "MAX_PAIRS", 20)
+    pieces = bpe._pieces(public_tokenizers.path(bpe.RANKS))
+    words = [f" wörd{i} and{i * 7}" for i in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(500)), "text": words})
+    whole = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=pieces.encoder.ranks, special_tokens={}
+    )
+    for done in bpe._encode_batches(iter([batch]), public_tokenizers.path(bpe.RANKS), True):
+        assert len(pieces) <= 30 and len(pieces.older) <= 30
+        assert len(pieces.encoder.parts) <= 21 and len(pieces.encoder.stable) <= 21
+        for doc, ids in zip(done.column("doc").to_pylist(), done.column("ids").to_pylist()):
+            assert ids == whole.encode_ordinary(words[doc])
+    assert not (pieces or pieces.older or pieces.encoder.parts or pieces.encoder.stable)
