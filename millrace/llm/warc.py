@@ -1,12 +1,14 @@
 """WARC archives written in parallel, the same whatever the cluster looks like.
 
-* Records are sorted by id over the whole archive: counts per id range, taken first,
-  cut the ids into shards of about ``shard_bytes`` of payload. Cuts follow from the
-  rows alone, not from sampling or partitions. A range that is too large in itself
-  (one id with very many rows) is split further by a hash of the row.
-* Each shard is written by one task, record by record, as files of gzip members,
-  closed once they reach ``file_bytes`` compressed. Headers and digests are made anew
-  from the payload.
+* Records are sorted by id, then by a hash of what they hold, over the whole archive.
+  Sizes are added up in that order (by range, with the totals of the ranges before), and
+  a shard ends wherever the sum passes another ``shard_bytes``. So shards are ranges,
+  whatever the ids are and however many rows one id has, and follow from the rows alone,
+  not from sampling or partitions. Only ids, hashes and sizes are moved for it; the
+  driver holds where each shard begins, 16 bytes per shard.
+* A shard is written by one task, record by record, as files of gzip members, closed
+  once they reach ``file_bytes`` compressed; at most ``MAX_TASKS`` tasks write one or
+  more consecutive shards each. Headers and digests are made anew from the payload.
 * A task writes under temporary names that no other attempt uses and reports what it
   wrote. Only reported files are then renamed, and the manifest, a table with a row
   for each file, is written last: an archive without it is not complete. Files of
@@ -18,21 +20,26 @@ payloads are all responses.
 
 Defined results: a null payload is an empty one; a null id sorts before all others
 and is the response only if no equal payload has an id; rows that repeat an id and a
-payload are all of the same type; an empty table gives an archive without files.
-Only the named columns are read, whatever other columns there are.
+payload are all of the same type, under record ids of their own; an empty table gives an
+archive without files. Rows equal in id, URI and payload are one shard's, however many.
+Control characters in a URI are written as %XX, all else as it is. Only the named columns
+are read, whatever other columns there are.
 """
 
 from __future__ import annotations
 
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import small_batches, stored
@@ -41,9 +48,10 @@ from millrace.sources.shared import new_run_dir
 SHARD_BYTES = 64_000_000
 FILE_BYTES = 32_000_000
 MIN_REVISIT = 1000
-ID_RANGES = 4096
+MAX_TASKS = 20_000
 # The media types and the profile that the format's standard names.
 _RESPONSE_TYPE = "application/http; msgtype=response"
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _MANIFEST = "file string, temporary string, shard int, records bigint, bytes bigint, sha1 string"
@@ -92,37 +100,41 @@ def write_archive(
     """Write ``pages`` under ``folder``, a URI all executors can write to; the manifest."""
     rows = small_batches(pages).select(
         F.col(id_column).cast("bigint").alias("id"),
-        F.col(uri_column).cast("string").alias("uri"),
+        F.make_valid_utf8(F.col(uri_column).cast("string")).alias("uri"),
         F.coalesce(F.col(payload_column), F.lit("")).cast("binary").alias("payload"),
     )
-    shard, shards = _shards(rows, shard_bytes)
+    begins = _begins(rows, shard_bytes)
+    first, last, shard_of = _lookups(begins, pages.sparkSession)
     revisits = record_types(pages, id_column, payload_column, min_revisit)
     # A page's type travels to its shard as a row of its own that sorts before the
     # page, so that pages are moved only once.
     nothing = F.lit(None)
     records = rows.select(
-        shard("id", F.xxhash64("payload")).alias("shard"),
+        shard_of("id", _row_hash()).alias("shard"),
         "id",
         F.lit(1).alias("kind"),
         F.sha1("payload").alias("digest"),
         nothing.cast("bigint").alias("refers_to"),
         "uri",
         "payload",
-    )
-    # A range that was split further needs the type in all of its shards.
+    ).withColumn("nth", F.col("shard") - first("id"))
+    # An id over several shards needs the type in all of them.
     types = revisits.select(
-        F.explode(_all_shards(shard, "id")).alias("shard"),
+        F.explode(F.sequence(first("id"), last("id"))).alias("shard"),
         "id",
         F.lit(0).alias("kind"),
         "digest",
         "refers_to",
         nothing.cast("string").alias("uri"),
         nothing.cast("binary").alias("payload"),
+        F.lit(0).alias("nth"),
     )
+    per_task = -(-len(begins) // MAX_TASKS) or 1
+    tasks = -(-len(begins) // per_task) or 1
     placed = (
         records.unionByName(types)
-        .repartitionById(max(shards, 1), F.col("shard"))
-        .sortWithinPartitions("id", "digest", "kind", F.xxhash64("uri"))
+        .repartitionById(tasks, F.floor(F.col("shard") / per_task).cast("int"))
+        .sortWithinPartitions("shard", "id", "digest", "kind", F.xxhash64("uri"))
     )
     reported = stored(
         placed.mapInArrow(
@@ -136,51 +148,95 @@ def write_archive(
     return pages.sparkSession.read.parquet(manifest)
 
 
-def _shards(rows: DataFrame, shard_bytes: int):
-    """Which shard a row belongs to, and how many there are.
+def _row_hash() -> Column:
+    return F.xxhash64("payload", "uri")
 
-    The driver holds one size for each of at most ``ID_RANGES`` ranges of ids.
-    """
-    low, high = rows.agg(F.min("id"), F.max("id")).first()
-    if low is None:
-        low = high = 0
-    width = (high - low) // ID_RANGES + 1
-    range_of = lambda id_: F.coalesce(
-        F.floor((F.col(id_) - F.lit(low)) / F.lit(width)).cast("int") + 1, F.lit(0)
-    )
+
+def _begins(rows: DataFrame, shard_bytes: int) -> list[tuple[int, int, int]]:
+    """Where each shard begins: whether the id is known, the id, the row's hash."""
+    spark = rows.sparkSession
     # 300 bytes stand for the headers.
-    sizes = dict(
-        rows.groupBy(range_of("id").alias("range"))
-        .agg(F.sum(F.length("payload") + 300))
+    sizes = (
+        rows.select("id", _row_hash().alias("hash"), (F.length("payload") + 300).alias("size"))
+        .groupBy("id", "hash")
+        .agg(F.sum("size").alias("size"))
+    )
+    order = [F.col("id").asc_nulls_first(), F.col("hash")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
+        for batch in batches:
+            size = batch.column("size").to_numpy(zero_copy_only=False)
+            start = done + np.cumsum(size) - size
+            done += int(size.sum())
+            yield batch.append_column("start", pa.array(start))
+
+    placed = stored(
+        sizes.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .select("*", F.spark_partition_id().alias("part"))
+        .mapInArrow(run, "id bigint, hash bigint, size bigint, part int, start bigint"),
+        "warc-places",
+    )
+    # One sum per partition, then one row per shard.
+    offsets, done = [], 0
+    for part, size in sorted(placed.groupBy("part").agg(F.sum("size")).collect()):
+        offsets.append((part, done))
+        done += size
+    before = spark.createDataFrame(offsets, "part int, before bigint")
+    found = (
+        placed.join(before, "part")
+        .select(
+            F.expr(f"(start + before) div {shard_bytes}").alias("shard"),
+            F.struct(F.col("id").isNotNull().cast("int").alias("known"), "id", "hash").alias("row"),
+        )
+        .groupBy("shard")
+        .agg(F.min("row").alias("row"))
+        .select("row.known", F.coalesce("row.id", F.lit(0)), "row.hash")
         .collect()
     )
-    first, parts, filled, count = {}, {}, shard_bytes, 0
-    for number in sorted(sizes):
-        size = sizes[number]
-        if size > shard_bytes:
-            first[number], parts[number] = count, -(-size // shard_bytes)
-            count += parts[number]
-            filled = shard_bytes
-            continue
-        if filled + size > shard_bytes:
-            filled, count = 0, count + 1
-        filled += size
-        first[number], parts[number] = count - 1, 1
-    firsts = F.lit([first.get(i, 0) for i in range(ID_RANGES + 2)])
-    splits = F.lit([parts.get(i, 1) for i in range(ID_RANGES + 2)])
-
-    def shard(id_: str, row_hash: Column | None = None) -> Column:
-        place = range_of(id_) + 1
-        start, split = F.get(firsts, place - 1), F.get(splits, place - 1)
-        if row_hash is None:
-            return F.sequence(start, start + split - 1)
-        return (start + F.pmod(row_hash, split).cast("int")).cast("int")
-
-    return shard, count
-
-
-def _all_shards(shard, id_: str) -> Column:
-    return shard(id_)
+    return sorted(tuple(row) for row in found)
+
+
+def _lookups(begins: list[tuple[int, int, int]], spark: SparkSession):
+    """Columns for the first and the last shard that may hold an id, and for the shard of
+    a row by its id and hash."""
+    nulls = sum(not known for known, _, _ in begins)
+    ids = np.array([id_ for known, id_, _ in begins if known], dtype=np.int64)
+    hashes = np.array([hash_ for _, _, hash_ in begins], dtype=np.int64)
+    shared = spark.sparkContext.broadcast((nulls, ids, hashes))
+
+    def spans(known: pd.Series, id_: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        """The shards that begin within each id."""
+        nulls, ids, _ = shared.value
+        known, id_ = known.to_numpy(), id_.to_numpy()
+        low = np.where(known, nulls + np.searchsorted(ids, id_, "left"), 0)
+        return low, np.where(known, nulls + np.searchsorted(ids, id_, "right"), nulls)
+
+    def first_of(known: pd.Series, id_: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(spans(known, id_)[0] - 1, 0))
+
+    def last_of(known: pd.Series, id_: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(spans(known, id_)[1] - 1, 0))
+
+    def shard_of(known: pd.Series, id_: pd.Series, hash_: pd.Series) -> pd.Series:
+        low, high = spans(known, id_)
+        shard, own = low - 1, hash_.to_numpy()
+        inside = np.flatnonzero(high > low)
+        for start in np.unique(low[inside]):
+            rows = inside[low[inside] == start]
+            begun = shared.value[2][start : high[rows[0]]]
+            shard[rows] += np.searchsorted(begun, own[rows], "right")
+        return pd.Series(np.maximum(shard, 0))
+
+    def column(function):
+        made = F.pandas_udf(function, "int")
+        return lambda id_, *others: made(
+            F.col(id_).isNotNull(), F.coalesce(F.col(id_), F.lit(0).cast("bigint")), *others
+        )
+
+    return column(first_of), column(last_of), column(shard_of)
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -196,16 +252,20 @@ def _head(kind: str, fields: list[tuple[str, str]], size: int) -> bytes:
 
 
 def _one_line(text: str) -> str:
-    return " ".join(text.split())
+    """Without what would end or bend a header's line."""
+    return _CONTROL.sub(lambda c: f"%{ord(c[0]):02X}", text)
 
 
-def _record_id(id_: int | None, digest: str) -> str:
+def _record_id(id_: int | None, digest: str, again: str = "") -> str:
     """The same for the same page, so that archives can be written anew."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{id_}/{digest}')}>"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{id_}/{digest}{again}')}>"
 
 
-def record(id_: int | None, uri: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One WARC record of an HTTP response; a revisit if ``refers_to`` is given."""
+def record(
+    id_: int | None, uri: str | None, payload: bytes, refers_to: int | None, again: str = ""
+) -> bytes:
+    """One WARC record of an HTTP response; a revisit if ``refers_to`` is given. ``again``
+    tells apart the records of rows that repeat an id and a payload."""
     digest = hashlib.sha1(payload).hexdigest()
     http = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -213,7 +273,7 @@ def record(id_: int | None, uri: str | None, payload: bytes, refers_to: int | No
     ).encode()
     block = http if refers_to is not None else http + payload
     fields = [
-        ("WARC-Record-ID", _record_id(id_, digest)),
+        ("WARC-Record-ID", _record_id(id_, digest, again)),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", _one_line(uri or "")),
         ("X-Page-Id", "" if id_ is None else str(id_)),
@@ -283,8 +343,8 @@ def _manifest_batch(rows: list[dict]) -> pa.RecordBatch:
 def _write_shard(
     batches: Iterator[pa.RecordBatch], folder: str, file_bytes: int
 ) -> Iterator[pa.RecordBatch]:
-    files = None
-    type_of, refers_to = None, None
+    files, repeated = None, 0
+    type_of, refers_to, before = None, None, None
     for batch in batches:
         for at in range(batch.num_rows):
             row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
@@ -292,10 +352,17 @@ def _write_shard(
             if row["kind"] == 0:
                 type_of, refers_to = page, row["refers_to"]
                 continue
-            if files is None:
+            if files is None or files.shard != row["shard"]:
+                if files is not None:
+                    files.close()
+                    yield _manifest_batch(files.done)
                 files = _Files(folder, row["shard"], file_bytes)
+                before = None
+            repeated = repeated + 1 if page == before else 0
+            before = page
+            again = f"/{row['shard']}/{repeated}" if repeated or row["nth"] else ""
             target = refers_to if page == type_of else None
-            files.add(record(row["id"], row["uri"], row["payload"], target))
+            files.add(record(row["id"], row["uri"], row["payload"], target, again))
     if files is not None:
         files.close()
         yield _manifest_batch(files.done)
