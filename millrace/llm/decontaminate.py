@@ -195,7 +195,7 @@ def _scan(
                 if not texts[row].is_valid:
                     clean.append(None)
                 elif len(first) == 0:
-                    clean.append(original.text(i).decode())
+                    clean.append(original.text(i).decode(errors="replace"))
                 else:
                     base = found.first[i]
                     clean.append(
@@ -249,4 +249,4 @@ def _without(chunk: Chunk, i: int, starts: np.ndarray, ends: np.ndarray) -> str:
         parts.append(chunk.data[at:start].tobytes())
         at = end
     parts.append(chunk.data[at : chunk.ends[i]].tobytes())
-    return b"".join(parts).decode()
+    return b"".join(parts).decode(errors="replace")

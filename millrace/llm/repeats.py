@@ -86,7 +86,7 @@ class Resolver:
 def with_keys(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``doc, h, text, row``: the id, a hash that tells apart rows which share it, the
     text, and all other columns."""
-    others = [F.col(f"`{name}`") for name in docs.columns if name != text_column]
+    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() != text_column.lower()]
     text = F.coalesce(F.col(text_column), F.lit(""))
     return small_batches(docs).select(
         F.col(id_column).cast("bigint").alias("doc"),
@@ -107,10 +107,8 @@ def packed(keyed: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
         for batch in batches:
             if shared is not None:
                 batch = batch.filter(pa.array(may_match(shared.value, batch.column("h"))))
-            data = pa.array(
-                [zlib.compress((x.as_py() or "").encode(), 1) for x in batch.column("text")],
-                pa.binary(),
-            )
+            texts = batch.column("text").cast(pa.binary())
+            data = pa.array([zlib.compress(x.as_py() or b"", 1) for x in texts], pa.binary())
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, pa.field("text", pa.binary()), data)
 

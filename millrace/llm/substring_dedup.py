@@ -130,8 +130,11 @@ def remove_earlier(
     done = marked.select("row", "text", "missing", "marks").mapInArrow(
         lambda batches: _remove(batches, unit, with_kept, schema.names), schema
     )
+    replaced = {name.lower() for name in new.names}
     others = [
-        f"row.`{name}`" for name in marked.schema["row"].dataType.names if name not in new.names
+        f"row.`{name}`"
+        for name in marked.schema["row"].dataType.names
+        if name.lower() not in replaced
     ]
     return done.select(*others, *new.names)
 
@@ -165,7 +168,7 @@ def _remove(
                     [{"first": int(a), "last": int(b)} for a, b in zip(first, last)]
                 )
                 missing = batch.column("missing")[row].as_py()
-                made["kept"].append(None if missing else kept.decode())
+                made["kept"].append(None if missing else kept.decode(errors="replace"))
         kinds = [pa.int64(), pa.int64(), pa.string()]
         if with_kept:
             span = pa.struct([("first", pa.int32()), ("last", pa.int32())])

@@ -67,8 +67,11 @@ def remove_repeats(
     done = marked.select("row", "text", "missing", "marks").mapInArrow(
         lambda batches: _remove(batches, unit, with_kept, schema.names), schema
     )
+    replaced = {name.lower() for name in new.names}
     others = [
-        f"row.`{name}`" for name in marked.schema["row"].dataType.names if name not in new.names
+        f"row.`{name}`"
+        for name in marked.schema["row"].dataType.names
+        if name.lower() not in replaced
     ]
     return done.select(*others, *new.names)
 

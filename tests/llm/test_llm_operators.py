@@ -473,6 +473,54 @@ def test_empty_tables(spark):
 # --- the pipeline -----------------------------------------------------------
 
 
+def kept_bytes(rows, window):
+    """What is left of each text without bytes of strings that start twice, as text."""
+    texts = {doc: text.encode() for doc, text in rows}
+    seen = Counter(t[p : p + window] for t in texts.values() for p in range(len(t) - window + 1))
+    out = {}
+    for doc, t in texts.items():
+        gone = np.zeros(len(t), dtype=bool)
+        for p in range(len(t) - window + 1):
+            if seen[t[p : p + window]] > 1:
+                gone[p : p + window] = True
+        out[doc] = bytes(np.frombuffer(t, np.uint8)[~gone]).decode(errors="ignore")
+    return out
+
+
+def test_pipeline_of_odd_rows_and_names(spark, tmp_path):
+    """The whole of ``run`` over nulls, blanks, copies, bytes that are no text, and
+    documents' own columns that have the names of what operators add."""
+    own = "Score double, n_words int, ITEMS string, spans string, n_hit int, kept_text string"
+    rows = [
+        (i, f"these are words number {i} of a text {i * 7} that nothing repeats {i}", "en", "s", 5)
+        for i in range(30)
+    ]
+    rows += [(100, None, None, None, None), (101, "", "en", "s", 0), (102, " ", "en", "s", 1)]
+    rows += [(None, PASSAGE, "en", "s", 3), (None, PASSAGE, "en", "s", 3), (103, PASSAGE + " x", "en", "s", 4)]
+    docs = spark.createDataFrame(
+        [(*row, 0.5, 1, "i", "s", 2, "k") for row in rows],
+        f"doc_id bigint, text string, lang string, source string, n_chars bigint, {own}",
+    )
+    odd = docs.limit(1).withColumn("text", F.expr("cast(unhex('61FF62') as string)"))
+    odd = odd.withColumn("doc_id", F.lit(200).cast("bigint"))
+    docs.unionByName(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    items = [("a", "number 3 of a text 21 that nothing repeats 3")]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    old, corpus_pipeline.GOOD = corpus_pipeline.GOOD, 0.5  # without labels all score 0.5
+    try:
+        found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        corpus_pipeline.GOOD = old
+    ids = Counter(row["doc_id"] for row in found)
+    assert ids == Counter({**{i: 1 for i in range(30)}, 100: 1, 101: 1, 102: 1, 103: 1, 200: 1})
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        kept = stage(spark, read, str(tmp_path)) if name != "quality classifier" else read
+        assert kept.columns == read.columns, name
+        assert {(r["Score"], r["n_words"], r["ITEMS"], r["spans"], r["n_hit"], r["kept_text"]) for r in kept.collect()} == {(0.5, 1, "i", "s", 2, "k")}, name
+
+
 def test_pipeline_stages(spark):
     """Each stage against brute force over what the stage before has kept."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -486,13 +534,10 @@ def test_pipeline_stages(spark):
     assert {row.doc_id for row in one.collect()} == {component for _, _, component in expected}
     assert one.count() == groups and one.columns == docs.columns
     cut = stages["suffix-array dedup"](spark, one, SMALL).cache()
-    removed = {
-        key[0]: key[4] for key in brute_bytes([(r.doc_id, r.text) for r in one.collect()], 400)
-    }
-    for row in cut.collect():
-        if row.text == next(r.text for r in one.filter(f"doc_id = {row.doc_id}").collect()):
-            assert hashlib.sha256(row.text.encode()).hexdigest() == removed[row.doc_id]
-        assert row.n_chars == len(row.text)
+    kept = kept_bytes([(r.doc_id, r.text) for r in one.collect()], 400)
+    left = {row.doc_id: row.text for row in cut.collect()}
+    assert left == {doc: text for doc, text in kept.items() if text.strip(" ")}
+    assert all(row.n_chars == len(row.text) for row in cut.collect())
     clean = stages["benchmark decontamination"](spark, cut, SMALL).cache()
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     again = decontaminate.find_contamination(clean, "text", items, "item_id", "text")
@@ -500,3 +545,92 @@ def test_pipeline_stages(spark):
     assert again.filter("n_hit > 0").count() == 0
     last = stages["byte-level BPE"](spark, clean, SMALL)
     assert last.count() == clean.count() <= cut.count() <= one.count()
+
+
+# --- range-sorted archives ----------------------------------------------------
+
+
+def archived(spark, rows, **options):
+    schema = "id bigint, uri string, payload string, kind string, shard int"
+    pages = spark.createDataFrame([(*row, "k", 7) for row in rows], schema)
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archive(pages, "id", "uri", "payload", folder, **options)
+    found = warc.read_archive(manifest, folder).collect()
+    shards = defaultdict(list)
+    for name in sorted(row["file"] for row in manifest.collect()):
+        one = manifest.filter(F.col("file") == name)
+        shards[name.split("-")[1]] += [r["id"] for r in warc.read_archive(one, folder).collect()]
+    return found, [shards[name] for name in sorted(shards)]
+
+
+@pytest.mark.parametrize(
+    "ids",
+    [
+        [*range(400), 2**62],
+        [-(2**63), *range(-200, 200), 2**63 - 1],
+        [*range(300), *[150] * 300],
+        [*range(200), *[None] * 300, *[2**40] * 300],
+    ],
+)
+def test_shards_are_ranges_of_ids(spark, ids):
+    """Ids far apart, and ids with very many rows."""
+    rng = np.random.default_rng(4)
+    rows = [(id_, f"http://a/ b  {i}", f"page {i} " * 30) for i, id_ in enumerate(ids)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    found, shards = archived(spark, rows, shard_bytes=20_000)
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1], x[2])
+    read = [(r["id"], r["uri"], bytes(r["payload"]).decode()) for r in found]
+    assert sorted(read, key=key) == sorted(rows, key=key)
+    assert len(shards) > 5 and max(map(len, shards)) < len(ids) / 6 + 20
+    joined = [(id_ is not None, id_ or 0) for shard in shards for id_ in sorted(shard, key=lambda x: (x is not None, x or 0))]
+    assert joined == sorted(joined)
+
+
+def test_record_ids_are_unique_and_uris_kept(spark):
+    rows = [(1, "http://a/ x  y", "p" * 2000)] * 5 + [(2, " lead\ting\r\nline ", "p" * 2000)] * 3
+    rows += [(3, None, None)] * 4
+    found, _ = archived(spark, rows, shard_bytes=3000)
+    uris = Counter((r["id"], r["uri"]) for r in found)
+    assert uris == {(1, "http://a/ x  y"): 5, (2, " lead%09ing%0D%0Aline "): 3, (3, ""): 4}
+    types = Counter((r["id"], r["record_type"], r["refers_to"]) for r in found)
+    assert types == {(1, "revisit", 2): 5, (2, "response", None): 3, (3, "response", None): 4}
+    made = {warc.record(1, "u", b"p", None, again).split(b"WARC-Record-ID: ")[1][:60] for again in ("", "/0/1", "/1/1")}
+    assert len(made) == 3
+
+
+# --- names that differ in capitals, bytes that are no text ---------------------
+
+CLASHES = "doc_id bigint, text string, Score string, N_HIT string, N_REMOVED string, Kept string"
+
+
+def clashing_docs(spark):
+    text = F.expr("case doc_id when 0 then cast(unhex('61FF62') as string) when 1 then null "
+                  "else concat('some words here ', doc_id, ' and more words of text ', doc_id) end")
+    return spark.range(20).select(F.col("id").alias("doc_id")).select(
+        "doc_id", text.alias("text"), *(F.lit(x).alias(x) for x in ("Score", "N_HIT", "N_REMOVED", "Kept"))
+    )
+
+
+def test_odd_names_and_bytes_everywhere(spark):
+    docs = clashing_docs(spark)
+    items = spark.createDataFrame([("a", "words here 3 and more")], "item string, text string")
+    model = language.fit(docs.withColumn("lang", F.lit("en")), "doc_id", "text", "lang")
+    results = {
+        "op1": suffix_dedup.remove_repeats(docs, "doc_id", "text", with_kept=False),
+        "op3": substring_dedup.remove_earlier(docs, "doc_id", "text"),
+        "op4": decontaminate.find_contamination(docs, "text", items, "item", "text"),
+        "op6": language.identify(docs, "text", model),
+        "op8": jaccard_join.near_duplicates(docs, "doc_id", "text"),
+        "op8 one": jaccard_join.keep_one(docs, "doc_id", "text"),
+        "op9": bpe.encode_texts(docs, "doc_id", "text"),
+        "op10": quality.score(docs, "text", None),
+    }
+    for name, found in results.items():
+        lowered = [column.lower() for column in found.columns]
+        assert len(lowered) == len(set(lowered)), name
+        assert len(found.collect()) == 20, name
+    digest = hashlib.sha256("a�b".encode()).hexdigest()
+    [row] = results["op9"].filter("doc_id = 0").collect()
+    assert row["decoded_sha256"] == digest
+    [row] = results["op1"].filter("doc_id = 0").collect()
+    assert (row["n_bytes"], row["kept_sha256"]) == (3, hashlib.sha256(b"a\xffb").hexdigest())
