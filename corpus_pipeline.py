@@ -5,7 +5,8 @@ returns what it measures of each. What a stage returns is written as Parquet and
 again before the next one, so that a lost executor costs one stage at most.
 
 A text that a stage changes has its ``n_chars`` counted anew; a document of whose text
-nothing is left is dropped. Null and blank texts are documents like others.
+nothing is left is dropped. Null and blank texts are documents like others. Documents may
+have further columns of any name; they stay as they are.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
+    own = _own(docs)
     machine = quality_machine(spark, docs, sf_dir)
-    return quality.score(docs, "text", machine).filter(F.col("score") >= GOOD).drop("score")
+    good = quality.score(own, _own_name(docs, "text"), machine).filter(F.col("score") >= GOOD)
+    return good.select(*own.columns).toDF(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,15 +38,17 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without byte strings that repeat anywhere in the corpus."""
-    found = suffix_dedup.remove_repeats(docs, "doc_id", "text")
-    return _with_text(found, F.col("kept_text"), F.col("n_removed") > 0, docs.columns)
+    names = (_own_name(docs, "doc_id"), _own_name(docs, "text"))
+    found = suffix_dedup.remove_repeats(_own(docs), *names)
+    return _with_text(found, F.col("kept_text"), F.col("n_removed") > 0, docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the words that occur in the benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_contamination(docs, "text", items, "item_id", "text")
-    return _with_text(found, F.col("clean_text"), F.col("n_hit") > 0, docs.columns)
+    text = _own_name(docs, "text")
+    found = decontaminate.find_contamination(_own(docs), text, items, "item_id", "text")
+    return _with_text(found, F.col("clean_text"), F.col("n_hit") > 0, docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +56,27 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, "doc_id", "text", keep_ids=False)
 
 
-def _with_text(found: DataFrame, text: Column, changed: Column, columns: list[str]) -> DataFrame:
+def _own(docs: DataFrame) -> DataFrame:
+    """``docs`` under names that no operator gives to what it adds, so that documents may
+    have columns of any name."""
+    return docs.toDF(*(f"own_{i}" for i in range(len(docs.columns))))
+
+
+def _own_name(docs: DataFrame, name: str) -> str:
+    return f"own_{[column.lower() for column in docs.columns].index(name)}"
+
+
+def _with_text(found: DataFrame, text: Column, changed: Column, docs: DataFrame) -> DataFrame:
     found = found.filter(~changed | (F.length(F.trim(text)) > 0))
-    n_chars = F.when(changed, F.length(text).cast("bigint"))
-    n_chars = n_chars.otherwise(F.col("n_chars")).alias("n_chars")
-    new = {"text": text.alias("text"), "n_chars": n_chars}
-    return found.select(*(new.get(name, F.col(name)) for name in columns))
+    columns = []
+    for name in docs.columns:
+        column = F.col(_own_name(docs, name.lower()))
+        if name.lower() == "text":
+            column = text
+        elif name.lower() == "n_chars":
+            column = F.when(changed, F.length(text).cast("bigint")).otherwise(column)
+        columns.append(column.alias(name))
+    return found.select(*columns)
 
 
 STAGES: list[tuple[str, Stage]] = [
