@@ -29,11 +29,11 @@ from millrace.llm.frames import small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF = 4  # bytes that are merged pair by pair, without cutting them further
-# What a worker remembers while a task runs, in entries; a piece and its ids take about
-# 220 bytes, a part 200, a pair of tokens 160: 60 MB in all. A task leaves none of it.
-MAX_PIECES = 180_000
-MAX_PARTS = 50_000
-MAX_PAIRS = 50_000
+# What a worker remembers, in entries; a piece and its ids take about 220 bytes, a part
+# 200, a pair of tokens 160: 100 MB in all. Pieces are forgotten when a task ends.
+MAX_PIECES = 150_000
+MAX_PARTS = 200_000
+MAX_PAIRS = 150_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -189,13 +189,11 @@ class Pieces(dict):
     def forget(self) -> None:
         self.clear()
         self.older = {}
-        self.encoder.parts.clear()
-        self.encoder.stable.clear()
 
 
 @lru_cache(maxsize=1)
 def _pieces(path: str) -> Pieces:
-    """Kept by a Python worker from one task to the next: the ranks, that is."""
+    """Kept by a Python worker from one task to the next, without the pieces themselves."""
     return Pieces(Encoder(load_ranks(path)))
 
 
