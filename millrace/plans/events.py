@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.values import time_bucket
 from millrace.operators.aggregates import latest_per_key, sliding_counts, total_per_key
 from millrace.operators.joins import last_before
+from millrace.operators.overlaps import overlap_counts, peaks
 from millrace.operators.sessions import sessionize
 from millrace.sources.tables import table
 
@@ -34,6 +35,19 @@ def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.withColumnRenamed("n_rows", "n_events")
 
 
+def overlapping_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each session the sessions of other users that overlap it."""
+    # A user's own sessions never overlap each other.
+    sessions = user_sessions(spark, sf_dir).drop("n_events")
+    return overlap_counts(sessions, "session_start", "session_end")
+
+
+def peak_open_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most sessions open at once on each day on which one starts or ends."""
+    found = peaks(user_sessions(spark, sf_dir), "session_start", "session_end", "1 day")
+    return found.withColumnsRenamed({"window_start": "day", "peak": "n_open"})
+
+
 def last_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each purchase with the same user's last view before it, if there is one."""
     kind = F.col("event_type")

@@ -138,6 +138,42 @@ ORACLE_SQL: dict[str, str] = {
         group by window_start
     """,
     "user_sessions": _SESSIONS,
+    "overlapping_sessions": f"""
+        with s as materialized (
+            select user_id, session_start, session_end from ({_SESSIONS})
+            where session_start < session_end
+        )
+        select a.user_id, a.session_start, a.session_end,
+               (select count(*) from s) - 1
+               - (select count(*) from s b where b.session_start >= a.session_end)
+               - (select count(*) from s b where b.session_end <= a.session_start)
+                   as n_overlapping
+        from s a
+    """,
+    "peak_open_sessions": f"""
+        with s as materialized (
+            select session_start, session_end from ({_SESSIONS})
+            where session_start < session_end
+        ), points as (
+            select t, sum(step) as step from (
+                select session_start as t, 1 as step from s
+                union all select session_end, -1 from s
+            ) group by t
+        ), running as (
+            select t, sum(step) over (order by t) as n, step from points
+        )
+        select date_trunc('day', t)::timestamp as day,
+               cast(max(greatest(n, case when t > date_trunc('day', t) then n - step else n end))
+                   as bigint) as n_open
+        from running group by day
+    """,
+    "order_value_percentiles": """
+        select o_orderkey, o_totalprice,
+               rank() over (order by o_totalprice) as rank,
+               percent_rank() over (order by o_totalprice) as percent_rank,
+               ntile(100) over (order by o_totalprice, o_orderkey) as bucket
+        from orders where o_totalprice is not null
+    """,
     "last_view_before_purchase": """
         select user_id, event_id as purchase_id, ts as purchase_ts,
                case when user_id is not null and ts is not null then view_id end as view_id,

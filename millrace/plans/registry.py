@@ -25,10 +25,13 @@ QUERIES: dict[str, Query] = {
         events.events_hourly,
         events.events_sliding,
         events.user_sessions,
+        events.overlapping_sessions,
+        events.peak_open_sessions,
         events.last_view_before_purchase,
         events.json_prop_totals,
         events.latest_event_per_user,
         star.orders_by_year_sink,
+        star.order_value_percentiles,
         streams.stream_events_hourly,
         streams.stream_user_sessions,
         streams.stream_dedup,

@@ -18,6 +18,7 @@ from millrace.operators.aggregates import count_cube, count_matrix, duplicate_ke
 from millrace.operators.joins import keys_in_first_only, rows_without_match
 from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.ranking import top_per_group
+from millrace.operators.running import percentiles
 from millrace.sources.partitioned import write_partitioned
 from millrace.sources.shared import new_run_dir
 from millrace.sources.tables import table
@@ -189,3 +190,9 @@ def orders_by_year_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
             "last_order",
         )
     )
+
+
+def order_value_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's rank, percentage and hundredth by value, over all orders."""
+    orders = table(spark, sf_dir, "orders")
+    return percentiles(orders, "o_totalprice", "o_orderkey", 100)

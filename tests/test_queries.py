@@ -17,6 +17,8 @@ JOINS = [
     "top_customers_per_nation",
     "price_quantiles",
     "nations_without_poor_suppliers",
+    "overlapping_sessions",
+    "order_value_percentiles",
     "last_view_before_purchase",
 ]
 
