@@ -25,15 +25,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import small_batches
+from millrace.llm.frames import release_memory, small_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF = 4  # bytes that are merged pair by pair, without cutting them further
 # What a worker remembers, in entries; a piece and its ids take about 220 bytes, a part
-# 200, a pair of tokens 160: 100 MB in all. Pieces are forgotten when a task ends.
-MAX_PIECES = 150_000
-MAX_PARTS = 200_000
-MAX_PAIRS = 150_000
+# 200, a pair of tokens 160: 90 MB in all, from one task to the next.
+MAX_PIECES = 220_000
+MAX_PARTS = 120_000
+MAX_PAIRS = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -186,14 +186,10 @@ class Pieces(dict):
             self[piece] = ids
         return ids
 
-    def forget(self) -> None:
-        self.clear()
-        self.older = {}
-
 
 @lru_cache(maxsize=1)
 def _pieces(path: str) -> Pieces:
-    """Kept by a Python worker from one task to the next, without the pieces themselves."""
+    """Kept by a Python worker from one task to the next."""
     return Pieces(Encoder(load_ranks(path)))
 
 
@@ -225,16 +221,8 @@ def encode_texts(
 def _encode_batches(
     batches: Iterator[pa.RecordBatch], path: str, keep_ids: bool
 ) -> Iterator[pa.RecordBatch]:
+    release_memory()
     pieces = _pieces(path)
-    try:
-        yield from _encoded(batches, pieces, keep_ids)
-    finally:
-        pieces.forget()
-
-
-def _encoded(
-    batches: Iterator[pa.RecordBatch], pieces: Pieces, keep_ids: bool
-) -> Iterator[pa.RecordBatch]:
     encoder = pieces.encoder
     written = {rank: str(rank) for rank in encoder.tokens}
     pattern = regex.compile(public_tokenizers.PATTERN)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -49,6 +51,15 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def release_memory() -> None:
+    """Give back what earlier tasks of this Python worker have freed and its allocator
+    still holds; Spark keeps workers from stage to stage."""
+    gc.collect()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def add_columns(
     df: DataFrame,
     fields: str,
