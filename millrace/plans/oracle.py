@@ -230,4 +230,27 @@ ORACLE_SQL: dict[str, str] = {
     "stream_dedup": """
         select distinct event_id, ts, user_id, event_type, value from events
     """,
+    "stream_view_to_purchase": """
+        with minutes as materialized (
+            select user_id, event_type, date_trunc('minute', ts)::timestamp as m,
+                   cast(count(*) as bigint) as n
+            from events where event_type in ('view', 'purchase') and ts is not null
+            group by all
+        ), closed as (
+            select date_trunc('milliseconds', min(latest)) - interval 10 minutes as t
+            from (select max(ts) as latest from events
+                  where event_type in ('view', 'purchase') group by event_type)
+        ), pairs as (
+            select v.user_id, v.m as view_minute, v.n as n_views,
+                   p.m as purchase_minute, p.n as n_purchases
+            from minutes v left join minutes p
+              on p.event_type = 'purchase' and p.user_id = v.user_id
+                 and p.m between v.m and v.m + interval 30 minutes
+            where v.event_type = 'view'
+        )
+        select pairs.* from pairs, closed
+        where case when purchase_minute is not null
+                   then purchase_minute + interval 1 minute <= t
+                   else view_minute + interval 31 minutes < t end
+    """,
 }

@@ -35,5 +35,6 @@ QUERIES: dict[str, Query] = {
         streams.stream_events_hourly,
         streams.stream_user_sessions,
         streams.stream_dedup,
+        streams.stream_view_to_purchase,
     )
 }

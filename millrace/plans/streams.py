@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.functions.values import as_instant, as_wall
-from millrace.sources.tables import table_stream
-from millrace.streaming.operators import stream_counts, stream_distinct, stream_sessions
+from millrace.sources.tables import BY_SIZE, table_stream
+from millrace.streaming.operators import (
+    stream_counts,
+    stream_distinct,
+    stream_followed,
+    stream_sessions,
+)
 from millrace.streaming.run import run_once
 
 DELAY = "10 minutes"
-# Files of the event table that make a micro-batch. State is evicted between batches, so
-# it is bounded by a batch, not by the backlog. The files should follow each other in
-# time; a run in which rows were too late fails. With None all files are one batch.
-FILES_PER_BATCH = 16
+VIEW_TO_PURCHASE = "30 minutes"
 
 
 def stream_events_hourly(
-    spark: SparkSession, sf_dir: str, files_per_batch: int | None = FILES_PER_BATCH
+    spark: SparkSession, sf_dir: str, files_per_batch: int | str | None = BY_SIZE
 ) -> DataFrame:
     """Events per hour, for the hours the watermark has passed."""
     events = _events(spark, sf_dir, files_per_batch)
@@ -27,7 +30,7 @@ def stream_events_hourly(
 
 
 def stream_user_sessions(
-    spark: SparkSession, sf_dir: str, files_per_batch: int | None = FILES_PER_BATCH
+    spark: SparkSession, sf_dir: str, files_per_batch: int | str | None = BY_SIZE
 ) -> DataFrame:
     """Sessions of each user, for those the watermark has passed."""
     events = _events(spark, sf_dir, files_per_batch)
@@ -37,7 +40,7 @@ def stream_user_sessions(
 
 
 def stream_dedup(
-    spark: SparkSession, sf_dir: str, files_per_batch: int | None = FILES_PER_BATCH
+    spark: SparkSession, sf_dir: str, files_per_batch: int | str | None = BY_SIZE
 ) -> DataFrame:
     """The event stream delivered twice, each event kept once."""
     twice = _events(spark, sf_dir, files_per_batch).unionByName(
@@ -52,6 +55,32 @@ def stream_dedup(
     return run_once(kept.withColumn("ts", as_wall("ts")), "stream_dedup")
 
 
-def _events(spark: SparkSession, sf_dir: str, files_per_batch: int | None) -> DataFrame:
+def stream_view_to_purchase(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | str | None = BY_SIZE
+) -> DataFrame:
+    """Views of each user and minute beside the user's purchases of each minute up to
+    30 minutes later; nulls for those that no purchase follows."""
+    followed = stream_followed(
+        _events(spark, sf_dir, files_per_batch),
+        "user_id",
+        "ts",
+        F.col("event_type") == "view",
+        F.col("event_type") == "purchase",
+        "1 minute",
+        VIEW_TO_PURCHASE,
+        DELAY,
+    )
+    named = followed.withColumnsRenamed(
+        {
+            "first_start": "view_minute",
+            "n_first": "n_views",
+            "then_start": "purchase_minute",
+            "n_then": "n_purchases",
+        }
+    )
+    return run_once(named, "stream_view_to_purchase")
+
+
+def _events(spark: SparkSession, sf_dir: str, files_per_batch: int | str | None) -> DataFrame:
     events = table_stream(spark, sf_dir, "events", files_per_batch)
     return events.withColumn("ts", as_instant("ts"))

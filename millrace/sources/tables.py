@@ -36,16 +36,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# A micro-batch of files by their size, see ``table_stream``.
+BY_SIZE = "size"
+# Bytes of a micro-batch for each core, about one scan task's. State is evicted between
+# batches, so it is bounded by a batch, not by the backlog.
+BYTES_PER_CORE = 128 << 20
+
+
 def table_stream(
-    spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None
+    spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | str | None = None
 ) -> DataFrame:
     """One table as a file stream.
 
-    Without ``files_per_batch`` the whole backlog is the first micro-batch, so
-    no row of it can be late whatever order the files are listed in.
+    A micro-batch is ``files_per_batch`` files, or with ``BY_SIZE`` as many as give every
+    core ``BYTES_PER_CORE``, however small or large they are; then the files should follow
+    each other in time. With None the whole backlog is the first micro-batch, so no row of
+    it can be late whatever order the files are listed in.
     """
     reader = spark.readStream.schema(SCHEMAS[name])
-    if files_per_batch is not None:
+    if files_per_batch == BY_SIZE:
+        size = BYTES_PER_CORE * spark.sparkContext.defaultParallelism
+        reader = reader.option("maxBytesPerTrigger", size)
+    elif files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # The file source takes a plain path for a folder and fails when it is a
     # single file; a pattern (here with one match) is accepted for both.

@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import as_wall
+from millrace.functions.values import as_wall, interval
 
 
 def stream_counts(stream: DataFrame, ts: str, width: str, delay: str) -> DataFrame:
@@ -44,6 +44,58 @@ def stream_sessions(
     )
 
 
+def stream_followed(
+    stream: DataFrame,
+    key: str,
+    ts: str,
+    first: Column,
+    then: Column,
+    width: str,
+    within: str,
+    delay: str,
+) -> DataFrame:
+    """Rows that meet ``first`` and those of the same key that meet ``then`` in the same
+    bucket of ``width`` or up to ``within`` later: ``key, first_start, n_first,
+    then_start, n_then``, one row per pair of buckets.
+
+    Both sides are counted per key and bucket before they meet, so a key with most of
+    the rows brings a row per bucket, never a pair of rows; the state holds the buckets
+    of the last ``within`` of each side. A pair appears once the watermark has reached
+    the end of its later bucket. A first bucket that nothing follows (or without a key)
+    appears with nulls once the watermark has passed the last bucket that could. Each
+    side has a watermark and the earlier counts; a run that goes on where another stopped
+    moves it once both sides have had rows.
+    """
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        counts = (
+            rows.withWatermark(ts, delay)
+            .groupBy(key, F.window(ts, width).alias("_window"))
+            .agg(F.count(F.lit(1)).alias(f"n_{name}"))
+        )
+        return counts.select(
+            F.col(key).alias(f"_{name}_key"),
+            F.window_time("_window").alias(f"_{name}_time"),
+            F.col("_window.start").alias(f"_{name}_start"),
+            f"n_{name}",
+        )
+
+    left = counted(stream.filter(first), "first")
+    right = counted(stream.filter(then), "then")
+    on = (
+        (F.col("_first_key") == F.col("_then_key"))
+        & (F.col("_then_time") >= F.col("_first_time"))
+        & (F.col("_then_time") <= F.col("_first_time") + interval(within))
+    )
+    return left.join(right, on, "left").select(
+        F.col("_first_key").alias(key),
+        as_wall("_first_start").alias("first_start"),
+        "n_first",
+        as_wall("_then_start").alias("then_start"),
+        "n_then",
+    )
+
+
 def stream_distinct(stream: DataFrame, row_id: str, ts: str, delay: str) -> DataFrame:
     """Rows whose ``row_id`` was not seen before, as long as copies arrive within
     ``delay`` of each other.
@@ -58,8 +110,9 @@ def stream_distinct(stream: DataFrame, row_id: str, ts: str, delay: str) -> Data
     return thinned.withWatermark(ts, delay).dropDuplicatesWithinWatermark([row_id])
 
 
-# Ids that a task remembers while it thins; more are sent on and thinned anew. It bounds
-# the task's memory and changes how many copies are left to the state, nothing else.
+# Rows that a task gathers before it thins them, and half of what it may carry on to the
+# next ones; more are sent on and thinned anew. It bounds the task's memory and changes
+# how many copies are left to the state, nothing else.
 HELD_IDS = 50_000
 
 
@@ -67,13 +120,22 @@ def _latest_of_each(row_id: str, ts: str):
     """The latest row of each id (without a time only if no copy has one)."""
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, waiting, n_waiting = None, [], 0
+
+        def gathered() -> pa.Table:
+            new = pa.Table.from_batches(waiting)
+            return _thinned(new if held is None else pa.concat_tables([held, new]))
+
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            held = _thinned(rows if held is None else pa.concat_tables([held, rows]))
-            if held.num_rows >= HELD_IDS:
-                yield from held.to_batches()
-                held = None
+            waiting.append(batch)
+            n_waiting += batch.num_rows
+            if n_waiting >= HELD_IDS:
+                held, waiting, n_waiting = gathered(), [], 0
+                if held.num_rows >= HELD_IDS // 2:
+                    yield from held.to_batches()
+                    held = None
+        if waiting:
+            held = gathered()
         if held is not None:
             yield from held.to_batches()
 

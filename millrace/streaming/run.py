@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources.shared import new_run_dir
 
+_REMEMBERED = "spark.sql.streaming.numRecentProgressUpdates"
 _STATE = {
     # State is kept in local RocksDB files, not on the heap, and each batch uploads
     # its changes to the checkpoint.
@@ -19,7 +20,7 @@ _STATE = {
     # Counting the rows in the store reads each key before writing it.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # All batches of a run are looked through for rows that came too late.
-    "spark.sql.streaming.numRecentProgressUpdates": "100000",
+    _REMEMBERED: "100000",
     # Each task joins its rows into sessions before the shuffle, so a user with
     # most of the rows sends sessions, not rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
@@ -27,7 +28,8 @@ _STATE = {
 
 
 class LateRows(RuntimeError):
-    """Rows came after the watermark had passed them and were left out."""
+    """Rows came after the watermark had passed them and were left out, or there were too
+    many batches to tell."""
 
 
 def run_available(
@@ -35,7 +37,8 @@ def run_available(
 ) -> DataFrame:
     """Process all available input, append the results at ``path``, return that table.
 
-    Raises ``LateRows`` if the watermark dropped rows, unless that is allowed.
+    Raises ``LateRows`` if the watermark dropped rows, or if there were too many batches
+    to tell, unless that is allowed.
 
     Calling it again with the same folders goes on where the last run stopped; each
     input row counts once even if tasks or whole runs fail in between. Both folders
@@ -51,7 +54,13 @@ def run_available(
             .start(path)
         )
     query.awaitTermination()
-    dropped = rows_dropped(query.recentProgress)
+    progress = query.recentProgress
+    dropped = rows_dropped(progress)
+    if len(progress) >= int(_STATE[_REMEMBERED]) and not allow_late:
+        raise LateRows(
+            "more batches than can be looked through for rows that came too late: take "
+            "larger ones, or allow late rows"
+        )
     if dropped and not allow_late:
         raise LateRows(
             f"{dropped} rows came too late: take the files in time order, more of them "

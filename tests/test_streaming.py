@@ -12,8 +12,13 @@ from pyspark.sql import functions as F
 from compare import rows_of
 from conftest import TESTDATA, at
 from millrace.functions.values import as_instant, as_wall
-from millrace.sources.tables import table, table_stream
-from millrace.streaming.operators import stream_counts, stream_distinct, stream_sessions
+from millrace.sources.tables import BY_SIZE, table, table_stream
+from millrace.streaming.operators import (
+    stream_counts,
+    stream_distinct,
+    stream_followed,
+    stream_sessions,
+)
 from millrace.plans import streams
 from millrace.streaming import operators as streaming_operators
 from millrace.streaming import run as streaming_run
@@ -228,7 +233,15 @@ def write_files(spark, folder, name, count, backwards=False):
     return len(rows)
 
 
-@pytest.mark.parametrize("name", ["stream_events_hourly", "stream_user_sessions", "stream_dedup"])
+STREAMS = [
+    "stream_events_hourly",
+    "stream_user_sessions",
+    "stream_dedup",
+    "stream_view_to_purchase",
+]
+
+
+@pytest.mark.parametrize("name", STREAMS)
 def test_batches_in_time_order_equal_one_batch(spark, tmp_path, name, monkeypatch):
     """And the state does not hold the whole backlog."""
     held = []
@@ -259,3 +272,103 @@ def test_files_out_of_order_fail_loudly(spark, tmp_path):
     with pytest.raises(LateRows, match="too late"):
         streams.stream_events_hourly(spark, str(tmp_path), files_per_batch=1)
     streams.stream_events_hourly(spark, str(tmp_path), files_per_batch=None)
+
+
+def test_small_files_make_few_batches(spark, tmp_path, monkeypatch):
+    """Batches follow the bytes of the files, not their number."""
+    seen = []
+    monkeypatch.setattr(streaming_run, "rows_dropped", lambda progress: seen.append(progress) or 0)
+    events = table(spark, f"{TESTDATA}/sf0.001", "events")
+    events.repartition(300).write.parquet(f"{tmp_path}/events.parquet")
+    got = streams.stream_dedup(spark, str(tmp_path), files_per_batch=BY_SIZE)
+    assert got.count() == events.count()
+    assert sum(batch["numInputRows"] > 0 for batch in seen[-1]) == 1
+
+
+def test_more_batches_than_are_remembered_fail_loudly(feed, monkeypatch):
+    """Else rows dropped in a forgotten batch would go unnoticed."""
+    monkeypatch.setitem(streaming_run._STATE, "spark.sql.streaming.numRecentProgressUpdates", "2")
+    for minute in (0, 100, 200, 300):
+        feed.send((minute, 1, at(minute)))
+    with pytest.raises(LateRows, match="more batches"):
+        feed.run(lambda stream: stream_counts(stream, "ts", "1 hour", "10 minutes"))
+
+
+def followed(stream):
+    """Events with an id below 100 are the first ones."""
+    first = F.col("event_id") < 100
+    found = stream_followed(
+        stream, "user_id", "ts", first, ~first, "1 minute", "30 minutes", "10 minutes"
+    )
+    return found.select("user_id", "first_start", "n_first", "then_start", "n_then")
+
+
+def some(rows):
+    return sorted(rows, key=lambda row: tuple(str(x) for x in row))
+
+
+def test_pairs_and_outer_rows_appear_when_the_watermark_has_passed(feed):
+    feed.send((1, 1, at(0)), (2, 1, at(0.5)), (3, 2, at(0)), (4, None, at(0)), (100, None, at(1)))
+    assert feed.run(followed).count() == 0
+    # The last minute that still follows, the first that no longer does.
+    feed.send((100, 1, at(30.9)), (101, 2, at(31)), (5, 3, at(31)))
+    assert feed.run(followed).count() == 0
+    # Both sides have come to minute 40.9: minute 30 is not quite over.
+    feed.send((102, 4, at(40.9)), (6, 4, at(45)))
+    assert feed.run(followed).count() == 0
+    feed.send((103, 4, at(41)), (9, 4, at(46)))
+    closed = [(1, at(0), 2, at(30), 1)]
+    assert some(feed.run(followed).collect()) == some(closed)
+    # Outer rows wait for the next millisecond.
+    feed.send((103, 4, at(41) + timedelta(milliseconds=1)), (9, 4, at(46)))
+    closed += [(2, at(0), 1, None, None), (None, at(0), 1, None, None)]
+    assert some(feed.run(followed).collect()) == some(closed)
+    # Late, but within the delay; the later of the two sides does not close anything.
+    feed.send((7, 2, at(32)), (104, 2, at(33)), (8, 9, at(500)))
+    feed.send((105, 9, at(46)))
+    closed += [
+        (2, at(32), 1, at(33), 1),
+    ]
+    assert some(feed.run(followed).collect()) == some(closed)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_followed_rows_of_a_hot_user_equal_brute_force(feed, seed):
+    """A third of all rows are one user's; rows repeat, some come late within the delay,
+    and runs end between batches."""
+    rng = random.Random(seed)
+    everything = []
+    for batch in range(6):
+        start = batch * 40
+        sent = [
+            (
+                rng.randrange(200),
+                rng.choice([7, rng.randrange(20), None]),
+                at(start + rng.randrange(-5 * 60, 40 * 60) / 60),
+            )
+            for _ in range(150)
+        ]
+        sent += sent[:10] + [(1, 0, at(start + 40)), (150, 0, at(start + 40))]
+        everything += sent
+        feed.send(*sent)
+        if batch % 2:
+            got = feed.run(followed)
+    minutes = {}
+    for event, user, ts in everything:
+        place = (event < 100, user, ts.replace(second=0, microsecond=0))
+        minutes[place] = minutes.get(place, 0) + 1
+    closed = at(5 * 40 + 40 - 10)
+    expected = []
+    for (is_first, user, minute), n in minutes.items():
+        if not is_first:
+            continue
+        later = [minute + timedelta(minutes=m) for m in range(31)]
+        after = [(t, minutes[False, user, t]) for t in later if (False, user, t) in minutes]
+        if user is None or not after:
+            after = [(None, None)]
+        for t, count in after:
+            end = (t or later[-1]) + timedelta(minutes=1)
+            if end < closed or (t and end == closed):
+                expected.append((user, minute, n, t, count))
+    assert some(got.collect()) == some(expected)
+    assert len(expected) > 100
