@@ -25,7 +25,7 @@ when the least id of a component is taken. Other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,7 @@ SLOTS = 32
 FULL = 65_535  # the largest set whose parts are counted
 PREFIX_ROWS = 300_000  # prefix shingles that a task sorts
 BLOCK = 2048  # classes of a prefix shingle's list that are compared with as many
+KEY_BITS = 64  # of a class's key; fewer only to test what becomes of equal keys
 UNIT = 32  # classes of a group whose sets are sent together to be compared
 
 
@@ -76,7 +77,16 @@ def near_duplicates(
     keyed = with_keys(docs, id_column, text_column)
     texts = stored(_classes_of_texts(keyed, size), "texts")
     classes = stored(_classes(texts), "classes")
-    lists = stored(_lists(keyed, texts, size, percent), "lists")
+    # Keys that different sets share: none, or a few among many billions of texts. Those
+    # sets go by their second hash.
+    shared = frozenset(row.k for row in classes.filter("differ").select("k").collect())
+    if shared:
+        key = F.when(F.col("k").isin(list(shared)), F.col("check")).otherwise(F.col("k"))
+        texts = texts.withColumn("k", key)
+        classes = stored(_classes(texts), "classes")
+        again = F.when(F.col("differ"), F.raise_error(F.lit("two sets share both hashes")))
+        classes = classes.filter(again.isNull())
+    lists = stored(_lists(keyed, texts, size, percent, shared), "lists")
 
     tried = _neighbours(lists, classes, percent)
     links = stored(_verified(keyed, classes, tried, size, percent), "links")
@@ -132,8 +142,10 @@ def keep_one(docs: DataFrame, id_column: str, text_column: str, **options) -> Da
 
 
 def _classes_of_texts(keyed: DataFrame, size: int) -> DataFrame:
-    """Per text its class: a sum over the hashes of its shingles, and a second one to
-    tell if two different sets should ever have the same first."""
+    """Per text its class: a sum over the hashes of its shingles, and a second one for
+    different sets that have the same first."""
+
+    bits = KEY_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,8 +153,8 @@ def _classes_of_texts(keyed: DataFrame, size: int) -> DataFrame:
                 n, k, check, parts = [], [], [], []
                 for _, grams in shingle_sets(chunk, size):
                     n.append(len(grams))
-                    k.append(int(grams.sum(dtype=np.uint64).view(np.int64)))
-                    check.append(int(mix(grams).sum(dtype=np.uint64).view(np.int64)))
+                    k.append(_key(grams, bits))
+                    check.append(_second_key(grams))
                     parts.append(_parts(grams))
                 rows = batch.slice(chunk.first, len(chunk.starts))
                 yield pa.RecordBatch.from_pydict(
@@ -161,6 +173,15 @@ def _classes_of_texts(keyed: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _key(grams: np.ndarray, bits: int) -> int:
+    total = grams.sum(dtype=np.uint64) >> np.uint64(64 - bits)
+    return int(total.view(np.int64))
+
+
+def _second_key(grams: np.ndarray) -> int:
+    return int(mix(grams).sum(dtype=np.uint64).view(np.int64))
+
+
 def _parts(grams: np.ndarray) -> bytes:
     """How many shingles fall into each part; all are ``FULL`` for a set of more than
     that, which no counted set can have, and ``_room`` then takes it as unbounded."""
@@ -171,8 +192,8 @@ def _parts(grams: np.ndarray) -> bytes:
 
 
 def _classes(texts: DataFrame) -> DataFrame:
-    """``k, n, parts`` of each class and one text that has it."""
-    differ = F.min("check") != F.max("check")
+    """``k, n, parts`` of each class and one text that has it; ``differ`` if it is not one
+    class but several with the same key."""
     return (
         texts.filter("n > 0")
         .groupBy("k")
@@ -180,10 +201,9 @@ def _classes(texts: DataFrame) -> DataFrame:
             F.first("n").alias("n"),
             F.first("parts").alias("parts"),
             F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "h")).alias("t"),
-            F.when(differ, F.raise_error("two sets of shingles share a hash")).alias("e"),
+            (F.min("check") != F.max("check")).alias("differ"),
         )
-        .filter(F.col("e").isNull())
-        .select("k", "n", "parts", "t.doc", "t.h")
+        .select("k", "n", "parts", "t.doc", "t.h", "differ")
     )
 
 
@@ -249,7 +269,9 @@ def prefix_length(n: int, percent: int) -> int:
 _PREFIX = np.dtype([("gram", "u8"), ("k", "i8"), ("n", "i4"), ("place", "i4")])
 
 
-def _lists(keyed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _lists(
+    keyed: DataFrame, texts: DataFrame, size: int, percent: int, shared: frozenset[int]
+) -> DataFrame:
     """``gram, k, n, place``: classes by prefix shingle, of shingles that two or more
     have. Prefixes travel as packed arrays, one of each class from each task, and single
     ones end where they arrive."""
@@ -258,9 +280,14 @@ def _lists(keyed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     # Copies in different tasks each send their prefix, so parts are sized by texts.
     total = texts.agg(F.sum(F.col("n") * F.lit((100 - percent) / 100) + 1)).first()[0] or 0
     parts = int(total // PREFIX_ROWS) + 1
+    bits = KEY_BITS
+
+    def named(grams: np.ndarray) -> int:
+        k = _key(grams, bits)
+        return _second_key(grams) if k in shared else k
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _prefixes(batches, frequency.value, parts, size, percent)
+        return _prefixes(batches, frequency.value, parts, size, percent, named)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [
@@ -297,7 +324,12 @@ def _lists(keyed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 
 
 def _prefixes(
-    batches: Iterator[pa.RecordBatch], frequency: np.ndarray, parts: int, size: int, percent: int
+    batches: Iterator[pa.RecordBatch],
+    frequency: np.ndarray,
+    parts: int,
+    size: int,
+    percent: int,
+    named: Callable[[np.ndarray], int],
 ) -> Iterator[pa.RecordBatch]:
     """The prefixes of a task's classes, each once however many texts have it."""
     held, rows, seen = [], 0, set()
@@ -306,7 +338,7 @@ def _prefixes(
             for _, grams in shingle_sets(chunk, size):
                 if not len(grams):
                     continue
-                n, k = len(grams), int(grams.sum(dtype=np.uint64).view(np.int64))
+                n, k = len(grams), named(grams)
                 if k in seen:
                     continue
                 seen.add(k)
