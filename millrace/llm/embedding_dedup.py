@@ -42,6 +42,7 @@ SAMPLE = 20_000
 PROBES = 8
 SUBSPACES = 8
 CODES = 64
+KEY_BITS = 64  # of a vector's key; fewer only to test what becomes of equal keys
 BLOCK = 1024
 SHARE = 16_384
 
@@ -130,25 +131,25 @@ def near_duplicates(
         & F.exists("v", lambda x: x != 0)
     )
     fine = F.coalesce(fine, F.lit(False))
+    key = F.shiftrightunsigned(F.xxhash64("label", F.size("v"), "v"), 64 - KEY_BITS)
     rows = rows.select(
-        "id", "label", "v", F.when(fine, F.xxhash64("label", F.size("v"), "v")).alias("k")
-    )
-    classes = stored(
-        rows.filter("k is not null")
-        .groupBy("k")
-        .agg(
-            F.min("id").alias("id"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first(F.struct("label", "v")).alias("x"),
-            F.when(
-                F.min(F.hash("label", "v")) != F.max(F.hash("label", "v")),
-                F.raise_error("two vectors share a hash"),
-            ).alias("e"),
-        )
-        .filter("e is null")
-        .select("k", "id", "copies", "x.label", "x.v"),
-        "vectors",
+        "id",
+        "label",
+        "v",
+        F.when(fine, key).alias("k"),
+        F.xxhash64("v", F.lit(1), "label").alias("check"),
     )
+    classes = stored(_classes(rows), "vectors")
+    # Keys that different vectors share: none, or a few among many billions. Those vectors
+    # go by their second hash.
+    shared = [row.k for row in classes.filter("differ").select("k").collect()]
+    if shared:
+        key = F.when(F.col("k").isin(shared), F.col("check")).otherwise(F.col("k"))
+        rows = rows.withColumn("k", key)
+        classes = stored(_classes(rows), "vectors")
+        again = F.when(F.col("differ"), F.raise_error(F.lit("two vectors share both hashes")))
+        classes = classes.filter(again.isNull())
+    classes = classes.drop("differ")
     found = stored(_links(classes, cosine), "links")
     counts = found.filter("n > 0").groupBy("a").agg(F.sum("n").alias("n"))
     groups = components(found.filter("b is not null"), "a", "b")
@@ -178,6 +179,22 @@ def near_duplicates(
     )
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """Equal vectors of a label as one row; ``differ`` if vectors with the same key are
+    not equal."""
+    return (
+        rows.filter("k is not null")
+        .groupBy("k")
+        .agg(
+            F.min("id").alias("id"),
+            F.count(F.lit(1)).alias("copies"),
+            F.first(F.struct("label", "v")).alias("x"),
+            (F.min("check") != F.max("check")).alias("differ"),
+        )
+        .select("k", "id", "copies", "x.label", "x.v", "differ")
+    )
+
+
 def _links(classes: DataFrame, cosine: float) -> DataFrame:
     """``a, n, b``: vectors linked to ``a`` (copies counted), and edges to ``b``."""
     result = "a bigint, n bigint, b bigint"
