@@ -40,6 +40,7 @@ from millrace.llm.arrays import (
 from millrace.llm.frames import add_columns, small_batches, stored
 
 MAX_WINDOWS = 200_000
+MAX_BYTES = 64 << 20  # of windows and item ids that are broadcast at once
 _RESULT = (
     "n_words bigint, n_hit bigint, items array<string>, "
     "hit_spans array<struct<first: int, last: int>>"
@@ -116,6 +117,7 @@ def find_contamination(
     item_text_column: str,
     n: int = 10,
     max_windows: int = MAX_WINDOWS,
+    max_bytes: int = MAX_BYTES,
     with_text: bool = True,
 ) -> DataFrame:
     """``docs`` with ``n_words``; ``n_hit``, the words hit; ``items``, the ids as
@@ -123,7 +125,9 @@ def find_contamination(
     runs of hit words (first, and one past the last); and, if ``with_text``,
     ``clean_text``, the text without those runs (null stays null)."""
     windows = stored(item_windows(items, item_column, item_text_column, n), "windows")
-    blocks = -(-windows.count() // max_windows) or 1
+    size = F.octet_length("gram") + F.coalesce(F.octet_length("item"), F.lit(0)) + 8
+    count, total = windows.agg(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
+    blocks = max(-(-count // max_windows), -(-(total or 0) // max_bytes), 1)
     block = F.pmod(F.xxhash64("item", "gram"), F.lit(blocks))
     for number in range(blocks):
         chosen = windows.filter(block == number).collect()

@@ -176,8 +176,13 @@ def brute_groups(rows):
     return out, len(groups)
 
 
-@pytest.mark.parametrize("block, unit, prefix", [(2048, 32, 1_000_000), (3, 2, 3000)])
-def test_jaccard_join_equals_brute_force(spark, monkeypatch, block, unit, prefix):
+# With few bits most sets share a key with others, with some more only some do.
+@pytest.mark.parametrize(
+    "block, unit, prefix, bits",
+    [(2048, 32, 1_000_000, 64), (3, 2, 3000, 64), (2048, 32, 1_000_000, 3), (3, 2, 3000, 10)],
+)
+def test_jaccard_join_equals_brute_force(spark, monkeypatch, block, unit, prefix, bits):
+    monkeypatch.setattr(jaccard_join, "KEY_BITS", bits)
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     monkeypatch.setattr(jaccard_join, "UNIT", unit)
     monkeypatch.setattr(jaccard_join, "PREFIX_ROWS", prefix)
@@ -216,7 +221,9 @@ def test_components_of_chains_stars_and_loops(spark):
     assert got == expected
 
 
-def test_vectors_equal_brute_force(spark):
+@pytest.mark.parametrize("bits", [64, 10, 3])
+def test_vectors_equal_brute_force(spark, monkeypatch, bits):
+    monkeypatch.setattr(embedding_dedup, "KEY_BITS", bits)
     rng = np.random.default_rng(3)
     rows = []
     for i in range(900):
@@ -288,8 +295,8 @@ def test_bpe_of_a_whole_table_equals_tiktoken(spark):
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("most", [200_000, 7])
-def test_decontamination_in_blocks(spark, most):
+@pytest.mark.parametrize("most, size", [(200_000, 1 << 20), (7, 1 << 20), (200_000, 90)])
+def test_decontamination_in_blocks(spark, most, size):
     items = spark.createDataFrame(
         [
             (1, " ".join(f"w{i}" for i in range(12))),
@@ -313,7 +320,7 @@ def test_decontamination_in_blocks(spark, most):
     ]
     docs = odd_docs(spark, texts).withColumn("items", F.lit("clash"))
     found = decontaminate.find_contamination(
-        docs, "text", items, "item_id", "text", max_windows=most
+        docs, "text", items, "item_id", "text", max_windows=most, max_bytes=size
     ).collect()
     got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.clean_text) for r in found)
     assert got == Counter(
