@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.values import time_bucket
+from millrace.operators.activity import rolling_distinct
 from millrace.operators.aggregates import latest_per_key, sliding_counts, total_per_key
+from millrace.operators.funnels import funnel
 from millrace.operators.joins import last_before
 from millrace.operators.overlaps import overlap_counts, peaks
 from millrace.operators.sessions import sessionize
@@ -48,6 +50,19 @@ def peak_open_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"window_start": "day", "peak": "n_open"})
 
 
+def weekly_active_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each day the users who did something on it or on the six days before."""
+    found = rolling_distinct(table(spark, sf_dir, "events"), "user_id", "ts", 7)
+    return found.withColumnRenamed("n_keys", "n_users")
+
+
+def funnel_view_signup_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each user got from a view over a signup to a purchase, and how often."""
+    kind = F.col("event_type")
+    steps = [kind == step for step in ("view", "signup", "purchase")]
+    return funnel(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", steps)
+
+
 def last_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each purchase with the same user's last view before it, if there is one."""
     kind = F.col("event_type")

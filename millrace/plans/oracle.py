@@ -174,6 +174,33 @@ ORACLE_SQL: dict[str, str] = {
                ntile(100) over (order by o_totalprice, o_orderkey) as bucket
         from orders where o_totalprice is not null
     """,
+    "weekly_active_users": """
+        with active as (
+            select distinct user_id, date_trunc('day', ts)::timestamp as day
+            from events where user_id is not null and ts is not null
+        )
+        select d.day, cast(count(distinct user_id) as bigint) as n_users
+        from (select distinct day from active) d
+        join active a on a.day between d.day - interval 6 days and d.day
+        group by d.day
+    """,
+    "funnel_view_signup_purchase": """
+        with steps as (
+            select user_id, ts, event_id,
+                   list_position(['view', 'signup', 'purchase'], event_type) - 1 as step
+            from events
+            where event_type in ('view', 'signup', 'purchase')
+              and user_id is not null and ts is not null
+        ), taken as (
+            select user_id, cast(list_reduce(
+                       list_prepend(0, list(step order by ts, event_id, step)),
+                       lambda n, step: case when step = n % 3 then n + 1 else n end) as bigint) as n
+            from steps group by user_id
+        )
+        select user_id, cast(least(n, 3) as bigint) as n_steps,
+               cast(n // 3 as bigint) as n_complete
+        from taken
+    """,
     "last_view_before_purchase": """
         select user_id, event_id as purchase_id, ts as purchase_ts,
                case when user_id is not null and ts is not null then view_id end as view_id,
@@ -253,4 +280,19 @@ ORACLE_SQL: dict[str, str] = {
                    then purchase_minute + interval 1 minute <= t
                    else view_minute + interval 31 minutes < t end
     """,
+    "stream_inactive_users": f"""
+        with known as (
+            select user_id, ts, event_id,
+                   coalesce(ts - lag(ts) over u > interval 2 days, true) as opens
+            from events where user_id is not null and ts is not null
+            window u as (partition by user_id order by ts, event_id)
+        ), numbered as (
+            select *, sum(opens::int) over (partition by user_id order by ts, event_id) as run
+            from known
+        )
+        select user_id, max(ts) as last_seen, cast(count(*) as bigint) as n_events
+        from numbered group by user_id, run
+        having time_bucket(interval 1 hour, max(ts) + interval 2 days) + interval 1 hour
+               <= {_WATERMARK}
+    """,
 }

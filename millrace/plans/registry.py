@@ -27,6 +27,8 @@ QUERIES: dict[str, Query] = {
         events.user_sessions,
         events.overlapping_sessions,
         events.peak_open_sessions,
+        events.weekly_active_users,
+        events.funnel_view_signup_purchase,
         events.last_view_before_purchase,
         events.json_prop_totals,
         events.latest_event_per_user,
@@ -36,5 +38,6 @@ QUERIES: dict[str, Query] = {
         streams.stream_user_sessions,
         streams.stream_dedup,
         streams.stream_view_to_purchase,
+        streams.stream_inactive_users,
     )
 }

@@ -11,12 +11,14 @@ from millrace.streaming.operators import (
     stream_counts,
     stream_distinct,
     stream_followed,
+    stream_inactive,
     stream_sessions,
 )
 from millrace.streaming.run import run_once
 
 DELAY = "10 minutes"
 VIEW_TO_PURCHASE = "30 minutes"
+INACTIVE = "2 days"
 
 
 def stream_events_hourly(
@@ -81,6 +83,16 @@ def stream_view_to_purchase(
     return run_once(named, "stream_view_to_purchase")
 
 
+def stream_inactive_users(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | str | None = BY_SIZE
+) -> DataFrame:
+    """Users who did nothing for more than two days, from the last thing they did."""
+    events = _events(spark, sf_dir, files_per_batch)
+    inactive = stream_inactive(events, "user_id", "ts", INACTIVE, DELAY)
+    named = inactive.withColumnRenamed("n_rows", "n_events")
+    return run_once(named, "stream_inactive_users")
+
+
 def _events(spark: SparkSession, sf_dir: str, files_per_batch: int | str | None) -> DataFrame:
     events = table_stream(spark, sf_dir, "events", files_per_batch)
     return events.withColumn("ts", as_instant("ts"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.values import as_wall, interval
 
@@ -148,3 +150,81 @@ def _latest_of_each(row_id: str, ts: str):
         return rows.take(pa.array(np.sort(order[last]))) if len(order) else rows
 
     return thin
+
+
+def stream_inactive(
+    stream: DataFrame, key: str, ts: str, pause: str, delay: str, width: str = "1 hour"
+) -> DataFrame:
+    """``key, last_seen, n_rows``: a key that has had no row for longer than ``pause``
+    after ``last_seen``, and its rows since it was last reported so. Rows without a key
+    are left out. ``width`` must not be longer than ``pause``.
+
+    Rows are first counted per key and bucket of ``width``, so a key with most of the
+    rows brings a row per bucket. Buckets come in order of time, when the watermark has
+    reached their end. The state of a key is its last time and a count, and a timer for
+    the end of the bucket in which the pause is over; what the timer reports is deleted,
+    so the state holds only keys that were active within the pause.
+    """
+    if pd.Timedelta(width) > pd.Timedelta(pause):
+        raise ValueError(f"{width} is longer than {pause}")
+    buckets = (
+        stream.filter(F.col(key).isNotNull())
+        .withWatermark(ts, delay)
+        .groupBy(key, F.window(ts, width).alias("_window"))
+        .agg(
+            F.unix_micros(F.min(ts)).alias("_first"),
+            F.unix_micros(F.max(ts)).alias("_last"),
+            F.count(F.lit(1)).alias("_n"),
+        )
+        .select(key, F.window_time("_window").alias("_time"), "_first", "_last", "_n")
+    )
+    kind = stream.schema[key].dataType.simpleString()
+    found = buckets.groupBy(key).transformWithState(
+        statefulProcessor=_Pauses(key, _micros(pause), _micros(width)),
+        outputStructType=f"{key} {kind}, _last bigint, n_rows bigint",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    seen = as_wall(F.timestamp_micros("_last"))
+    return found.select(key, seen.alias("last_seen"), "n_rows")
+
+
+def _micros(length: str) -> int:
+    return pd.Timedelta(length) // pd.Timedelta("1us")
+
+
+class _Pauses(StatefulProcessor):
+    """See ``stream_inactive``; times are microseconds."""
+
+    def __init__(self, key: str, pause: int, width: int) -> None:
+        self.key, self.pause, self.width = key, pause, width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "last bigint, n bigint")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        last, n = before = self.seen.get() if self.seen.exists() else (None, 0)
+        for row in sorted(rows, key=lambda row: row["_first"]):
+            if last is not None and row["_first"] - last > self.pause:
+                yield Row(**{self.key: key[0], "_last": last, "n_rows": n})
+                n = 0
+            last, n = row["_last"], n + row["_n"]
+        if before[0] is not None:
+            self.handle.deleteTimer(self._over(before[0]))
+        self.seen.update((last, n))
+        self.handle.registerTimer(self._over(last))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        last, n = self.seen.get()
+        self.seen.clear()
+        yield Row(**{self.key: key[0], "_last": last, "n_rows": n})
+
+    def close(self) -> None:
+        pass
+
+    def _over(self, last: int) -> int:
+        """The millisecond before the end of the bucket that holds the end of the pause:
+        timers go off when the watermark is past them, and until it has reached that end
+        there may be rows to come from before the pause is over."""
+        return ((last + self.pause) // self.width + 1) * self.width // 1000 - 1

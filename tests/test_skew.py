@@ -32,12 +32,15 @@ READS = {
     "events_hourly": "events",
     "events_sliding": "events",
     "user_sessions": "events",
+    "weekly_active_users": "events",
+    "funnel_view_signup_purchase": "events",
     "last_view_before_purchase": "events",
     "json_prop_totals": "events",
     "latest_event_per_user": "events",
     "stream_events_hourly": "events",
     "stream_user_sessions": "events",
     "stream_dedup": "events",
+    "stream_inactive_users": "events",
 }
 
 

@@ -17,6 +17,7 @@ from millrace.streaming.operators import (
     stream_counts,
     stream_distinct,
     stream_followed,
+    stream_inactive,
     stream_sessions,
 )
 from millrace.plans import streams
@@ -372,3 +373,61 @@ def test_followed_rows_of_a_hot_user_equal_brute_force(feed, seed):
                 expected.append((user, minute, n, t, count))
     assert some(got.collect()) == some(expected)
     assert len(expected) > 100
+
+
+def inactive(stream):
+    return stream_inactive(stream, "user_id", "ts", "2 hours", "10 minutes")
+
+
+def test_a_pause_is_reported_once_and_its_state_deleted(feed):
+    feed.send((1, 1, at(5)), (2, 1, at(65)), (3, 2, at(70)))
+    # User 1 is back after exactly the pause, user 2 after more; both in one batch with it.
+    feed.send((4, 1, at(185)), (5, 2, at(191)), (6, None, at(192)))
+    assert rows(feed.run(inactive)) == []
+    # The buckets up to minute 240 are over; user 2's pause ended within that of 190.
+    feed.send((7, 3, at(255)))
+    assert rows(feed.run(inactive)) == [(2, at(70), 1)]
+    # Started again from the checkpoint: user 1's pause is over at 305, its bucket at 360.
+    feed.send((8, 3, at(369)))
+    assert rows(feed.run(inactive)) == [(2, at(70), 1)]
+    feed.send((9, 3, at(371)))
+    assert rows(feed.run(inactive)) == [(1, at(185), 3), (2, at(70), 1), (2, at(191), 1)]
+    # Who comes back after a report is counted anew.
+    feed.send((10, 1, at(400)), (11, 3, at(2000)))
+    assert (1, at(400), 1) in rows(feed.run(inactive))
+
+
+def test_pauses_do_not_depend_on_batches(spark, tmp_path):
+    rng = random.Random(8)
+    times = sorted(rng.randint(0, 6000) for _ in range(400))
+    events = [(i, rng.choice([7, 7, *range(6)]), at(t)) for i, t in enumerate(times)]
+    found = []
+    for n in (1, 4, 12):
+        folder = tmp_path / str(n)
+        feed = Feed(spark, folder)
+        size = -(-len(events) // n)
+        for start in range(0, len(events), size):
+            feed.send(*events[start : start + size])
+            if n < 12:
+                feed.run(inactive)
+        found.append(rows(feed.run(inactive)))
+    assert found[0] == found[1] == found[2]
+    closed = (at(times[-1]) - at(0)).total_seconds() / 60 - 10
+    expected = []
+    for user in {u for _, u, _ in events}:
+        mine = [e[2] for e in events if e[1] == user]
+        n = 0
+        for t, then in zip(mine, [*mine[1:], None]):
+            n += 1
+            over = (t - at(0)).total_seconds() // 60 + 120
+            if (then is None or then - t > timedelta(hours=2)) and (over // 60 + 1) * 60 <= closed:
+                expected.append((user, t, n))
+            if then is not None and then - t > timedelta(hours=2):
+                n = 0
+    assert found[0] == sorted(expected)
+
+
+def test_a_bucket_is_not_longer_than_the_pause(feed):
+    feed.send((1, 1, at(5)))
+    with pytest.raises(ValueError, match="longer"):
+        feed.run(lambda stream: stream_inactive(stream, "user_id", "ts", "30 minutes", "1 minute"))
