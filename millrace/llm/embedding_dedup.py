@@ -5,14 +5,19 @@ residuals, table lookups, and an exact comparison of what passes.
 * A coarse quantiser (k-means) gives each vector its list, and a product quantiser codes
   what is left, subspace by subspace. Both are fitted in one task on at most about
   ``SAMPLE`` vectors, chosen by hash; every vector is indexed.
-* A vector is looked up in the ``PROBES`` lists nearest to it. Its distance to a listed
+* A vector is looked up in every list whose border is near enough that a similar vector
+  may lie behind it, and in the ``PROBES`` nearest in any case. Its distance to a listed
   vector's code comes from tables of its own distances to all code words, one per
   subspace. How far each code lies from its vector is known, so a pair is dropped only
   if by the triangle inequality it cannot be similar enough; all others are compared
   by cosine in double precision.
 
-Links are found with ``PROBES`` lists as sufficient as measurement says (the tests hold
-recall to brute force); a link found from one side counts for both. Links within a piece
+A similar vector lies at most some distance away, in a direction that has nothing to do
+with the lists. Towards a list it then comes by that distance times a share with a
+deviation of one over the root of the dimension; a list is looked into if its border is
+within ``DEVIATIONS`` of these. That does not depend on how many lists there are, so that
+recall does not fall as they grow; the tests hold it to brute force at growing sizes. A
+link found from one side counts for both. Links within a piece
 of work are summed up there, to a count per vector and an edge from each vector to the
 least it reaches, so pairs of large groups are not listed.
 
@@ -35,16 +40,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.frames import small_batches, stored
+from millrace.llm.frames import place_of, share_of, small_batches, stored
 
 COSINE = 0.93
 SAMPLE = 20_000
 PROBES = 8
+DEVIATIONS = 2.0
 SUBSPACES = 8
 CODES = 64
 KEY_BITS = 64  # of a vector's key; fewer only to test what becomes of equal keys
 BLOCK = 1024
 SHARE = 16_384
+DISTANCES = 4_000_000  # between vectors and centres, held at a time
 
 
 class Quantiser:
@@ -57,10 +64,39 @@ class Quantiser:
         rest = sample - self.centroids[place]
         edges = np.linspace(0, sample.shape[1], SUBSPACES + 1).astype(int)
         self.slices = [slice(a, b) for a, b in zip(edges, edges[1:]) if b > a]
+        # In how many directions vectors spread within their lists.
+        spread = rest.T @ rest
+        size = (spread**2).sum()
+        self.directions = np.trace(spread) ** 2 / size if size > 0 else sample.shape[1]
         self.books = [_means(rest[:, s], min(CODES, len(rest)), random) for s in self.slices]
 
-    def probes(self, vectors: np.ndarray) -> np.ndarray:
-        return _nearest(vectors, self.centroids, PROBES)
+    def probes(self, vectors: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """The lists in which to look for what lies within ``reach`` of the vectors, each
+        vector's own first, and how many they are for each vector."""
+        centres = self.centroids
+        squares = (centres**2).sum(axis=1)
+        margin = 2 * DEVIATIONS * reach / np.sqrt(self.directions)
+        found, counts = [], []
+        step = max(1, DISTANCES // len(centres))
+        for start in range(0, len(vectors), step):
+            part = vectors[start : start + step]
+            far = squares - 2 * part @ centres.T
+            home = far.argmin(axis=1)
+            behind = far - far[np.arange(len(part)), home][:, None]
+            apart = squares + squares[home][:, None] - 2 * centres[home] @ centres.T
+            # Twice the distance to the border, times that between the two centres.
+            near = behind <= margin * np.sqrt(np.maximum(apart, 0))
+            if PROBES < len(centres):
+                least = np.argpartition(far, PROBES - 1, axis=1)[:, :PROBES]
+                np.put_along_axis(near, least, True, axis=1)
+            else:
+                near[:] = True
+            near[np.arange(len(part)), home] = False
+            row, at = np.nonzero(near)
+            n = np.bincount(row, minlength=len(part))
+            found.append(np.insert(at, np.cumsum(n) - n, home))
+            counts.append(n + 1)
+        return np.concatenate(found), np.concatenate(counts)
 
     def encode(self, vectors: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and how far they are from the vectors."""
@@ -207,7 +243,7 @@ def _links(classes: DataFrame, cosine: float) -> DataFrame:
             sizes = np.array([len(v) for v in batch.column("v")])
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                yield _placed(part, known[int(size)])
+                yield _placed(part, known[int(size)], _reach(cosine))
 
     placed = stored(
         classes.mapInArrow(
@@ -269,9 +305,8 @@ def _fit(classes: DataFrame) -> dict[int, Quantiser]:
     total = sum(counts.values())
     if not total:
         return {}
+    some = classes.filter(place_of(F.col("k"), 3) < share_of(SAMPLE, total))
     # At least one of each dimension, however rare.
-    share = int(min(SAMPLE / total, 1.0) * 1_000_000) + 1
-    some = classes.filter(F.pmod(F.xxhash64("k", F.lit(3)), F.lit(1_000_000)) < share)
     each = classes.groupBy(F.size("v")).agg(F.first("v").alias("v")).select("v")
     sample = some.select("v").unionByName(each)
     rows = sample.repartition(1).mapInArrow(learn, "model binary").collect()
@@ -284,17 +319,25 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors**2).sum(axis=1, keepdims=True))
 
 
-def _placed(part: pa.RecordBatch, known: Quantiser) -> pa.RecordBatch:
+def _reach(cosine: float) -> float:
+    """How far apart unit vectors of that cosine are."""
+    return float(np.sqrt(2 - 2 * cosine)) + 1e-6
+
+
+def _placed(part: pa.RecordBatch, known: Quantiser, reach: float) -> pa.RecordBatch:
     vectors = _unit(np.array(part.column("v").to_pylist()))
-    probes = known.probes(vectors)
-    codes, err = known.encode(vectors, probes[:, 0])
+    probes, counts = known.probes(vectors, reach)
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    codes, err = known.encode(vectors, probes[ends[:-1]])
     return pa.RecordBatch.from_pydict(
         {
             "k": part.column("k"),
             "copies": part.column("copies"),
             "label": part.column("label"),
             "size": pa.array([vectors.shape[1]] * len(vectors), pa.int32()),
-            "probes": pa.array(probes.tolist(), pa.list_(pa.int32())),
+            "probes": pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(probes, pa.int32())
+            ),
             "codes": pa.array([code.tobytes() for code in codes], pa.binary()),
             "err": pa.array(err),
             "unit": pa.array([vector.tobytes() for vector in vectors], pa.binary()),
@@ -348,9 +391,7 @@ def _linked(
     copies = np.array([row["copies"] for row in queries])
     home = np.array([row["probes"][0] for row in queries])
     far = known[block.quantiser].distances(vectors, block.at, block.codes)
-    # Unit vectors of that cosine are this far apart.
-    most = np.sqrt(2 - 2 * cosine) + 1e-6
-    q, e = np.nonzero(far <= most + block.err[None])
+    q, e = np.nonzero(far <= _reach(cosine) + block.err[None])
     keep = k[q] != block.k[e]
     q, e = q[keep], e[keep]
     near = (vectors[q] * block.unit[e]).sum(axis=1) >= cosine

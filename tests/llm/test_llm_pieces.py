@@ -13,7 +13,16 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm import anchors, arrays, bpe, jaccard_join, language, suffix_runs, warc
+from millrace.llm import (
+    anchors,
+    arrays,
+    bpe,
+    embedding_dedup,
+    jaccard_join,
+    language,
+    suffix_runs,
+    warc,
+)
 from millrace.llm.frames import place_of, share_of
 from millrace.llm.language import Lattice, _tails
 from millrace.llm.quality import FACTORS, Features, Machine
@@ -298,3 +307,31 @@ def test_bpe_remembers_little(monkeypatch):
         assert len(pieces.encoder.parts) <= 21 and len(pieces.encoder.stable) <= 21
         for doc, ids in zip(done.column("doc").to_pylist(), done.column("ids").to_pylist()):
             assert ids == whole.encode_ordinary(words[doc])
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000, 100_000, 400_000])
+def test_probes_find_similar_vectors_however_many_lists(n):
+    """Vectors without any clusters, the hardest: those of cosine 0.93 to 0.96 lie in lists
+    that one of the two looks into."""
+    rng = np.random.default_rng(n)
+    unit = embedding_dedup._unit
+    lists = int(2 * n**0.5) + 1
+    known = embedding_dedup.Quantiser(unit(rng.normal(size=(min(n, 20_000), 64))), lists)
+    v = unit(rng.normal(size=(4000, 64)))
+    other = rng.normal(size=v.shape)
+    other = unit(other - (other * v).sum(axis=1, keepdims=True) * v)
+    cosine = rng.uniform(0.93, 0.96, size=(len(v), 1))
+    u = cosine * v + np.sqrt(1 - cosine**2) * other
+
+    def looked_into(vectors):
+        probes, counts = known.probes(vectors, embedding_dedup._reach(0.93))
+        return np.split(probes, np.cumsum(counts)[:-1])
+
+    of_v, of_u = looked_into(v), looked_into(u)
+    homes = embedding_dedup._nearest(v, known.centroids, 1)[:, 0]
+    assert [p[0] for p in of_v] == homes.tolist()
+    assert all(len(set(p)) == len(p) >= 8 for p in of_v)
+    found = [a[0] in b or b[0] in a for a, b in zip(of_v, of_u)]
+    assert np.mean(found) >= 0.999
+    # Of 1,265 lists at most.
+    assert np.mean([len(p) for p in of_v]) <= 40
