@@ -295,4 +295,12 @@ ORACLE_SQL: dict[str, str] = {
         having time_bucket(interval 1 hour, max(ts) + interval 2 days) + interval 1 hour
                <= {_WATERMARK}
     """,
+    "stream_revenue_upserts": """
+        select date_trunc('month', l_shipdate)::timestamp as ship_month,
+               cast(count(*) as bigint) as n_lines,
+               cast(sum(cast(l_extendedprice as decimal(12,2))) as decimal(38,2)) as revenue
+        from lineitem
+        where l_returnflag is distinct from 'R'
+        group by 1
+    """,
 }

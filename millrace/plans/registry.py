@@ -39,5 +39,6 @@ QUERIES: dict[str, Query] = {
         streams.stream_dedup,
         streams.stream_view_to_purchase,
         streams.stream_inactive_users,
+        streams.stream_revenue_upserts,
     )
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.values import as_instant, as_wall
+from millrace.functions.values import as_instant, as_wall, hundredths
 from millrace.sources.tables import BY_SIZE, table_stream
 from millrace.streaming.operators import (
     stream_counts,
@@ -15,6 +15,7 @@ from millrace.streaming.operators import (
     stream_sessions,
 )
 from millrace.streaming.run import run_once
+from millrace.streaming.totals import totals_once
 
 DELAY = "10 minutes"
 VIEW_TO_PURCHASE = "30 minutes"
@@ -93,6 +94,24 @@ def stream_inactive_users(
     return run_once(named, "stream_inactive_users")
 
 
+def stream_revenue_upserts(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | str | None = BY_SIZE
+) -> DataFrame:
+    """Order lines and their prices per month of shipping; every line is added, and one
+    that was returned is removed again."""
+
+    def lines(sign: int) -> DataFrame:
+        rows = table_stream(spark, sf_dir, "lineitem", files_per_batch)
+        rows = rows if sign > 0 else rows.filter(F.col("l_returnflag") == "R")
+        month = F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
+        return rows.select(month.alias("ship_month"), "l_extendedprice", F.lit(sign).alias("sign"))
+
+    changes = lines(1).unionByName(lines(-1))
+    price = hundredths("l_extendedprice")
+    found = totals_once(changes, ["ship_month"], "sign", price, "stream_revenue_upserts")
+    return found.withColumnsRenamed({"n_rows": "n_lines", "total": "revenue"})
+
+
 def _events(spark: SparkSession, sf_dir: str, files_per_batch: int | str | None) -> DataFrame:
     events = table_stream(spark, sf_dir, "events", files_per_batch)
     return events.withColumn("ts", as_instant("ts"))

@@ -41,6 +41,7 @@ READS = {
     "stream_user_sessions": "events",
     "stream_dedup": "events",
     "stream_inactive_users": "events",
+    "stream_revenue_upserts": "lineitem",
 }
 
 
