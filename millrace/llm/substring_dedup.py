@@ -38,6 +38,7 @@ from millrace.llm.repeats import (
     join_marks,
     marks,
     pack,
+    places,
     window_hashes,
     with_keys,
 )
@@ -149,10 +150,7 @@ def _remove(
             data = np.frombuffer(text, dtype=np.uint8)
             found = words(Chunk(0, data, np.zeros(1, np.int64), np.array([len(text)])), SPACED)
             size = len(found.starts)
-            given = batch.column("marks")[row].as_py() or []
-            at = np.array([x["at"] for x in given], dtype=np.int64)
-            low = np.array([x["low"] for x in given], dtype=np.int64)
-            high = np.array([x["high"] for x in given], dtype=np.int64)
+            at, low, high = places(batch.column("marks")[row].as_py() or [])
             gone = covered(
                 size, np.maximum(at - high, 0), np.minimum(at - low + unit.window, size)
             )

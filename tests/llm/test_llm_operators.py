@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ import corpus_pipeline
 from compare import assert_same, duckdb_over
 from conftest import TESTDATA
 from millrace.llm import (
+    anchors,
+    arrays,
     bpe,
     chat,
     components,
@@ -116,6 +119,60 @@ def test_suffix_dedup_cuts_characters_cleanly(spark):
         assert set(row.kept_text) <= set("éèüö")
 
 
+def repeating_rows():
+    """Texts that repeat lines within themselves, shared with others and not."""
+    line = "one line that very many texts repeat again and again, without an end\n"
+    own = "a line that only this text repeats, as often as it likes to do that\n"
+    return [
+        (1, line * 9 + "what the first text says"),
+        (2, "what the second text says " + line * 30 + "and then " + line * 4),
+        (2, "what the second text says " + line * 30 + "and then " + line * 4),
+        (3, own * 25),
+        (4, "nothing is repeated here, and this text is longer than a window is"),
+        (None, line * 7 + own * 3),
+        (5, line[:50]),
+    ]
+
+
+def test_texts_that_repeat_lines_equal_brute_force(spark):
+    rows = repeating_rows()
+    docs = odd_docs(spark, rows)
+    done = suffix_dedup.remove_repeats(docs, "doc_id", "text", window=40, with_kept=False)
+    got = done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert Counter(map(tuple, got)) == brute_bytes(rows, 40)
+    done = substring_dedup.remove_earlier(docs, "doc_id", "text", window=10, with_kept=False)
+    got = done.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert Counter(map(tuple, got)) == brute_words(rows, 10)
+
+
+def test_a_text_sends_each_context_once():
+    """However often a text repeats a line, its anchors make a row for each core and
+    context, and all their places are in it."""
+    unit = repeats.Unit(by_words=False, window=40, core=20, later_only=False)
+    texts = [text for _, text in repeating_rows()]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc": list(range(len(texts))), "h": [0] * len(texts), "text": texts}
+    )
+    got, all_places = Counter(), set()
+    for made in repeats._find_anchors(iter([batch]), unit):
+        for row in made.to_pylist():
+            got[row["doc"], row["g"], row["c"]] += 1
+            for at in (row["at"], *(row.get("more") or ())):
+                all_places.add((row["doc"], at, row["g"], row["c"]))
+    assert set(got.values()) == {1}
+    expected = set()
+    for doc, text in enumerate(texts):
+        chunk = next(arrays.chunks(pa.array([text])))
+        hashes, starts, ends, _ = unit.split(chunk)
+        found = anchors.find(hashes, starts, ends, unit.window, unit.core)
+        expected |= {
+            (doc, int(at), int(g), int(c))
+            for at, g, c in zip(found.at, found.core.view(np.int64), found.context.view(np.int64))
+        }
+    assert all_places == expected
+    assert len(expected) > 2 * len(got)
+
+
 def brute_words(rows, window):
     texts = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for _, text in rows]
     order = [2**63 - 1 if doc is None else doc for doc, _ in rows]
