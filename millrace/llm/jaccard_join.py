@@ -329,9 +329,10 @@ def _prefixes(
     parts: int,
     size: int,
     percent: int,
-    named: Callable[[np.ndarray], int],
+    named: Callable[[np.ndarray], int] = lambda grams: _key(grams, KEY_BITS),
 ) -> Iterator[pa.RecordBatch]:
-    """The prefixes of a task's classes, each once however many texts have it."""
+    """The prefixes of a task's classes, each once however many texts have it; ``named``
+    gives a class its key."""
     held, rows, seen = [], 0, set()
     for batch in batches:
         for chunk in chunks(batch.column("text")):
